@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from velostat.operators import activity, analytics, curate, quality, stations as st
 from velostat.plans import bindings as b
+from velostat.plans.text_queries import TEXT_QUERIES
 from velostat.session import configure_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +93,4 @@ REGISTRY: dict[str, Query] = {
     "dq_duplicate_rides": _q(lambda s, d: quality.dq_duplicate_rides(b.raw_rides(s, d))),
     "dq_summary": _q(lambda s, d: quality.dq_summary(b.raw_rides(s, d), b.stations_partial(s, d), as_of=b.AS_OF)),
 }
+REGISTRY.update({name: _q(fn) for name, fn in TEXT_QUERIES.items()})
