@@ -66,17 +66,22 @@ def local_to_utc(local: Column | str, tz: str = NY_TZ) -> Column:
     """Naive local wall clock -> instant (TIMESTAMP).
 
     In the autumn fold a wall clock occurs twice; the later instant (standard
-    time) is taken.  Wall clocks in the spring gap move forward by the gap."""
-    local = _col(local)
-    first = F.convert_timezone(F.lit(tz), F.lit("UTC"), local)
+    time) is taken.  Wall clocks in the spring gap move forward by the gap.
+    ``to_utc_timestamp`` reads the wall clock through the session zone, which
+    ``configure_session`` pins to UTC."""
+    local = _col(local).cast("timestamp_ntz")
+    first = F.to_utc_timestamp(local.cast("timestamp"), tz)
     later = F.timestamp_add("HOUR", F.lit(1), first)
-    in_fold = F.convert_timezone(F.lit("UTC"), F.lit(tz), later) == local
-    return F.when(in_fold, later).otherwise(first).cast("timestamp")
+    in_fold = utc_to_local(later) == local
+    return F.when(in_fold, later).otherwise(first)
 
 
 def utc_to_local(instant: Column | str, tz: str = NY_TZ) -> Column:
-    """Instant (TIMESTAMP) or UTC wall clock (NTZ) -> naive local wall clock."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), _col(instant).cast("timestamp_ntz"))
+    """Instant (TIMESTAMP) or UTC wall clock (NTZ) -> naive local wall clock.
+
+    ``from_utc_timestamp`` (with the session zone at UTC) is several times
+    faster than ``convert_timezone`` on the same rows."""
+    return F.from_utc_timestamp(_col(instant).cast("timestamp"), tz).cast("timestamp_ntz")
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:

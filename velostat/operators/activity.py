@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from velostat.functions.columns import rider_proxy_key, utc_to_local
 
+# Partition column of the curated trips table ('yyyy-MM' of the local start).
+MONTH_PARTITION = "start_month"
+
 # A rider proxy silent for more than this many days has churned.
 CHURN_GAP_DAYS = 30
 
@@ -30,12 +33,18 @@ def local_window(trips: DataFrame, start, end, column: str = "started_at") -> Da
     lo, hi = _as_datetime(start), _as_datetime(end)
     local = utc_to_local(column)
     stored = F.col(column).cast("timestamp_ntz")
-    return trips.filter(
+    cond = (
         (stored >= F.lit(lo - dt.timedelta(days=1)))
         & (stored < F.lit(hi + dt.timedelta(days=1)))
         & (local >= F.lit(lo))
         & (local < F.lit(hi))
     )
+    if MONTH_PARTITION in trips.columns:
+        # curated tables are partitioned by local start month: prune folders
+        cond = cond & (F.col(MONTH_PARTITION) >= F.lit(lo.strftime("%Y-%m"))) & (
+            F.col(MONTH_PARTITION) <= F.lit(hi.strftime("%Y-%m"))
+        )
+    return trips.filter(cond)
 
 
 def rider_day_activity(trips: DataFrame, start, end) -> DataFrame:

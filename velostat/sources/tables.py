@@ -52,10 +52,16 @@ def build_silver(spark: SparkSession, normalized: DataFrame | None, root: str, r
 
 def write_curated_trips(normalized: DataFrame, path: str) -> int:
     """Curate and write trips partitioned by local start month; returns the
-    row count, taken by ``observe`` during the same write (no second pass)."""
+    row count, taken by ``observe`` during the same write (no second pass).
+
+    A range exchange on (month, start time) gives each writer task one
+    contiguous slice of time: a month folder receives a few files instead of
+    one per shuffle partition, a busy month is still split across tasks, and
+    files come out ordered by start time so their row-group statistics serve
+    time filters."""
     curated = curate_trips(normalized).withColumn(
         "start_month", F.date_format(utc_to_local("started_at"), "yyyy-MM")
-    )
+    ).repartitionByRange("start_month", "started_at")
     obs = Observation("curated_trips")
     observed = curated.observe(obs, F.count(F.lit(1)).alias("rows"))
     _writer(observed).partitionBy("start_month").parquet(path)
