@@ -19,8 +19,14 @@ def _writer(df: DataFrame):
     return df.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
 
 
-def write_silver(trips: DataFrame, stations: DataFrame, root: str) -> None:
-    """Replace both silver tables (zstd Parquet)."""
+def write_silver(trips: DataFrame, stations: DataFrame, root: str, num_files: int | None = None) -> None:
+    """Replace both silver tables (zstd Parquet).
+
+    ``num_files`` spreads the trips evenly (round robin) over that many files,
+    for inputs whose layout would otherwise leave later scans with too few
+    splits (a single large row group, say)."""
+    if num_files:
+        trips = trips.repartition(num_files)
     _writer(trips.select(*TRIP_COLUMNS)).parquet(f"{root}/trips")
     _writer(stations.select(*STATION_COLUMNS)).parquet(f"{root}/stations")
 
@@ -54,14 +60,15 @@ def write_curated_trips(normalized: DataFrame, path: str) -> int:
     """Curate and write trips partitioned by local start month; returns the
     row count, taken by ``observe`` during the same write (no second pass).
 
-    A range exchange on (month, start time) gives each writer task one
-    contiguous slice of time: a month folder receives a few files instead of
+    A range exchange on (month, start time, ride id) gives each writer task one
+    contiguous slice of time (the unique ride id keeps even a single hot
+    instant splittable): a month folder receives a few files instead of
     one per shuffle partition, a busy month is still split across tasks, and
     files come out ordered by start time so their row-group statistics serve
     time filters."""
     curated = curate_trips(normalized).withColumn(
         "start_month", F.date_format(utc_to_local("started_at"), "yyyy-MM")
-    ).repartitionByRange("start_month", "started_at")
+    ).repartitionByRange("start_month", "started_at", "ride_id")
     obs = Observation("curated_trips")
     observed = curated.observe(obs, F.count(F.lit(1)).alias("rows"))
     _writer(observed).partitionBy("start_month").parquet(path)
