@@ -47,6 +47,7 @@ def _rider_days(spark, sf_dir):
 REGISTRY: dict[str, Query] = {
     # analytics on curated rides
     "peak_hours": _q(lambda s, d: analytics.peak_hours(b.rides(s, d), *b.RIDES_WINDOW)),
+    "peak_hours_unlabeled": _q(lambda s, d: analytics.peak_hours(b.rides(s, d), *b.RIDES_WINDOW, with_label=False)),
     "duration_percentiles": _q(lambda s, d: analytics.duration_percentiles(b.rides(s, d))),
     "top_start_stations": _q(lambda s, d: analytics.top_start_stations(b.rides(s, d), b.stations(s, d), k=20)),
     "top_end_stations": _q(lambda s, d: analytics.top_end_stations(b.rides(s, d), b.stations(s, d), k=20)),
@@ -91,6 +92,9 @@ REGISTRY: dict[str, Query] = {
         lambda s, d: quality.dq_missing_end_station(b.raw_rides(s, d), b.stations_partial(s, d))
     ),
     "dq_duplicate_rides": _q(lambda s, d: quality.dq_duplicate_rides(b.raw_rides(s, d))),
+    "dq_ended_before_started": _q(lambda s, d: quality.ended_before_started(b.raw_rides(s, d))),
+    "top_start_stations_report": _q(lambda s, d: analytics.top_start_stations(b.rides(s, d), b.stations(s, d), k=10)),
+    "station_imbalance_report": _q(lambda s, d: analytics.station_imbalance(b.rides(s, d), b.stations(s, d), k=10)),
     "dq_summary": _q(lambda s, d: quality.dq_summary(b.raw_rides(s, d), b.stations_partial(s, d), as_of=b.AS_OF)),
 }
 REGISTRY.update({name: _q(fn) for name, fn in TEXT_QUERIES.items()})

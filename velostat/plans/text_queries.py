@@ -16,6 +16,7 @@ from velostat.plans import bindings as b
 from velostat.plans import text_fixtures as tf
 from velostat.session import scratch_dir
 from velostat.sources import csv_ingest, tables
+from velostat.streaming import incremental
 from velostat.schema import TRIP_COLUMNS
 
 # Day shifts that move the January events onto the 2024 DST changes.
@@ -220,6 +221,17 @@ def stations_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.round("station_lng", 6).alias("station_lng"))
 
 
+def incremental_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Modern-layout files ingested by the streaming query (run to completion
+    with an available-now trigger); one row per surviving ride id."""
+    root = tf.write_trip_csvs(spark, sf_dir)
+    header = list(spark.read.option("header", "true").csv(f"{root}/modern").columns)
+    table_path = f"{root}/streamed_trips"
+    q = incremental.start_ingest(spark, f"{root}/modern", header, table_path)
+    q.awaitTermination()
+    return spark.read.parquet(table_path).select("ride_id")
+
+
 TEXT_QUERIES = {
     "clean_text": clean_text_q,
     "safe_cast": safe_cast_q,
@@ -235,4 +247,5 @@ TEXT_QUERIES = {
     "parquet_roundtrip": parquet_roundtrip_q,
     "curated_table_load": curated_table_q,
     "stations_table_load": stations_table_q,
+    "incremental_ingest": incremental_ingest_q,
 }
