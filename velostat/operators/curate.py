@@ -53,13 +53,21 @@ def null_out_missing_stations(trips: DataFrame, stations: DataFrame) -> DataFram
     """Foreign-key repair: a station id with no row in ``stations`` becomes NULL.
 
     Each side joins against the distinct ids of the dimension, so no trip is
-    multiplied.  NULL ids stay NULL and never meet the join."""
+    multiplied.  A NULL id can never match, but as a join key every NULL would
+    hash to one shuffle partition; the key is replaced by a per-row text that
+    starts with a NUL character (no station id does), which spreads those rows
+    without changing the result."""
     ids = stations.select(F.col("station_id").alias("_sid")).where(F.col("_sid").isNotNull()).distinct()
+    row_hash = F.xxhash64(*[F.col(c) for c in trips.columns]).cast("string")
     out = trips
     for side in ("start", "end"):
         col = f"{side}_station_id"
         known = ids.withColumnRenamed("_sid", f"_known_{side}")
-        out = out.join(known, out[col] == known[f"_known_{side}"], "left").withColumn(
-            col, F.col(f"_known_{side}")
-        ).drop(f"_known_{side}")
+        key = F.coalesce(F.col(col), F.concat(F.lit("\u0000"), row_hash))
+        out = (
+            out.withColumn("_key", key)
+            .join(known, F.col("_key") == known[f"_known_{side}"], "left")
+            .withColumn(col, F.col(f"_known_{side}"))
+            .drop(f"_known_{side}", "_key")
+        )
     return out.select(*trips.columns)
