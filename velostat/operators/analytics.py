@@ -42,14 +42,21 @@ def duration_percentiles(trips: DataFrame) -> DataFrame:
 
 
 def _station_counts(trips: DataFrame, side: str, strict: bool) -> DataFrame:
-    """Trips per normalized station id on one side, with the trip-side name."""
-    return (
+    """Trips per normalized station id on one side, with the trip-side name.
+
+    ``max`` over text has no hash-aggregate buffer, so taking it over the trips
+    would sort every map task's trips.  Counting per (station, name) first keeps
+    the big aggregate hashed; the name is then chosen over that small result."""
+    pairs = (
         trips.where(F.col(f"{side}_station_id").isNotNull())
-        .groupBy(normalize_station_id(f"{side}_station_id", strict).alias("station_id"))
-        .agg(
-            F.count(F.lit(1)).alias("trip_count"),
-            F.max(f"{side}_station_name").alias("_trip_name"),
+        .groupBy(
+            normalize_station_id(f"{side}_station_id", strict).alias("station_id"),
+            F.col(f"{side}_station_name").alias("_name"),
         )
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return pairs.groupBy("station_id").agg(
+        F.sum("_n").alias("trip_count"), F.max("_name").alias("_trip_name")
     )
 
 
@@ -93,15 +100,17 @@ def station_flows(trips: DataFrame, strict: bool = False) -> DataFrame:
     )
     legs = trips.select(F.explode(F.array(leg("end", True), leg("start", False))).alias("l")).select("l.*")
     inbound = F.col("inbound")
-    return (
+    # hashed count per (station, name, direction), then names over that small set
+    pairs = (
         legs.where(F.col("station_id").isNotNull())
-        .groupBy("station_id")
-        .agg(
-            F.count_if(inbound).alias("inbound_trips"),
-            F.count_if(~inbound).alias("outbound_trips"),
-            F.max(F.when(inbound, F.col("name"))).alias("_in_name"),
-            F.max(F.when(~inbound, F.col("name"))).alias("_out_name"),
-        )
+        .groupBy("station_id", "name", "inbound")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return pairs.groupBy("station_id").agg(
+        F.coalesce(F.sum(F.when(inbound, F.col("_n"))), F.lit(0)).alias("inbound_trips"),
+        F.coalesce(F.sum(F.when(~inbound, F.col("_n"))), F.lit(0)).alias("outbound_trips"),
+        F.max(F.when(inbound, F.col("name"))).alias("_in_name"),
+        F.max(F.when(~inbound, F.col("name"))).alias("_out_name"),
     )
 
 

@@ -26,11 +26,22 @@ def station_points(trips: DataFrame) -> DataFrame:
 
 def derive_stations(trips: DataFrame) -> DataFrame:
     """One row per raw station id: the largest name (the id if none), mean
-    coordinates.  Partial aggregation absorbs busy stations before the shuffle."""
-    return station_points(trips).groupBy("station_id").agg(
+    coordinates.
+
+    Points are first summed per (station id, name) -- a hashed partial
+    aggregate that absorbs busy stations before the shuffle (``max`` over text
+    over all trips would sort them instead); the name and means are then
+    taken over that small result."""
+    per_name = station_points(trips).groupBy("station_id", "station_name").agg(
+        F.sum("station_lat").alias("_lat"),
+        F.count("station_lat").alias("_nlat"),
+        F.sum("station_lng").alias("_lng"),
+        F.count("station_lng").alias("_nlng"),
+    )
+    return per_name.groupBy("station_id").agg(
         F.coalesce(F.max("station_name"), F.col("station_id")).alias("station_name"),
-        F.avg("station_lat").alias("station_lat"),
-        F.avg("station_lng").alias("station_lng"),
+        F.try_divide(F.sum("_lat"), F.sum("_nlat")).alias("station_lat"),
+        F.try_divide(F.sum("_lng"), F.sum("_nlng")).alias("station_lng"),
     )
 
 
