@@ -140,3 +140,27 @@ def test_segment_usage_rounding(spark):
     out = analytics.segment_usage(spark.createDataFrame(rows, TRIPS_SCHEMA), round_median=True).first()
     # mean 271 s = 4.51666 min -> 4.52 ; median 62 s = 1.0333 min -> 1.03
     assert out.avg_duration_minutes == 4.52 and out.median_duration_minutes == 1.03
+
+
+def test_approximate_distinct_is_close(spark):
+    days = activity.rider_day_activity(b.order_rides(spark, SF_CHECK), *b.ORDERS_WINDOW)
+    exact = {r[0]: r[1] for r in activity.monthly_active_proxy(days).collect()}
+    approx = {r[0]: r[1] for r in activity.monthly_active_proxy(days, approximate=True, rsd=0.01).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[m] - exact[m]) <= max(3, 0.05 * exact[m]) for m in exact)
+
+
+def test_staged_rider_days_equal_unstaged(spark, tmp_dir):
+    days = activity.rider_day_activity(b.order_rides(spark, SF_SMALL), *b.ORDERS_WINDOW)
+    staged = activity.stage_rider_days(days, f"{tmp_dir}/rda")
+    assert staged.exceptAll(days).count() == 0 and days.exceptAll(staged).count() == 0
+
+
+def test_summary_report_sections(spark, tmp_dir):
+    from velostat.operators.report import summary_report
+
+    sections = summary_report(b.rides(spark, SF_SMALL), b.stations(spark, SF_SMALL), *b.RIDES_WINDOW, f"{tmp_dir}/stage")
+    assert len(sections) == 6
+    counts = {title: len(df.collect()) for title, df in sections.items()}
+    assert counts["Trips by Hour (Local Time)"] <= 24 and counts["Top Start Stations"] <= 10
+    assert counts["Member vs Casual Usage"] == 2

@@ -113,9 +113,14 @@ def order_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def volume_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as rides (600,000 at sf 0.1); ride ids repeat naturally."""
+def volume_rides(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """Line items as rides (600,000 at sf 0.1); ride ids repeat naturally.
+
+    ``partitions`` spreads the scan (round robin) before the projections: the
+    fixture file is a single row group, which Spark reads in one task."""
     li = table(spark, sf_dir, "lineitem")
+    if partitions:
+        li = li.repartition(partitions)
     n_stations = table(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
     duration = (F.col("l_quantity") * 60).cast("bigint")
     ended = F.timestamp_add("SECOND", duration, F.col("l_shipdate"))
