@@ -20,12 +20,14 @@ _REQUIRED = {
 
 
 def configure_session(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators assume; set a checkpoint
-    folder only when the cluster has not named one (tests, local runs)."""
+    """Apply the runtime settings the operators assume.  In local mode with no
+    checkpoint folder named, a temp folder is set (tests); on a cluster the
+    folder must come from the configuration, never a machine-local path."""
     for key, value in _REQUIRED.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    if not _checkpoint_dir(spark):
+    if not _checkpoint_dir(spark) and (spark.sparkContext.master or "").startswith("local"):
+        # local mode only (tests, one machine): a temp folder is shared by all tasks
         local = os.path.join(tempfile.gettempdir(), f"velostat-ckpt-{uuid.uuid4().hex[:8]}")
         spark.sparkContext.setCheckpointDir(local)
         spark.conf.set("spark.checkpoint.dir", local)
@@ -42,7 +44,13 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder."""
     configure_session(spark)
-    base = _checkpoint_dir(spark).rstrip("/")
+    base = _checkpoint_dir(spark)
+    if not base:
+        raise ValueError(
+            "spark.checkpoint.dir is not set: name a folder every executor shares "
+            "(scratch tables and stream checkpoints go there)"
+        )
+    base = base.rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
