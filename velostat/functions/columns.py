@@ -47,8 +47,11 @@ def safe_bigint(c: Column | str) -> Column:
     """Text to BIGINT the way a lenient SQL cast does it: decimals and
     exponents are accepted and rounded half away from zero ('2.5' -> 3,
     '-2.5' -> -3, '1e3' -> 1000); junk and overflow give NULL."""
-    as_decimal = _col(c).try_cast("decimal(38,18)")
-    return F.round(as_decimal, 0).try_cast("bigint")
+    text = _col(c)
+    exact = F.round(text.try_cast("decimal(38,18)"), 0)
+    # exponent forms ('0e38', '1.5e2') take the DOUBLE parse, as a SQL cast does
+    scientific = F.round(text.try_cast("double"), 0)
+    return F.when(text.rlike("[eE]"), scientific.try_cast("bigint")).otherwise(exact.try_cast("bigint"))
 
 
 def parse_local_timestamp(c: Column | str) -> Column:
