@@ -140,21 +140,14 @@ def churn_reactivation(rider_days: DataFrame, gap_days: int = CHURN_GAP_DAYS) ->
         "gap_end", F.coalesce(F.col("next_day"), end_day)
     )
     lapsed = steps.where(F.datediff("gap_end", "activity_day") > gap_days)
-    churn = lapsed.select(
-        F.trunc(F.date_add("activity_day", gap_days), "month").alias("activity_month"),
-        F.lit(1).alias("churned"),
-        F.lit(0).alias("reactivated"),
+    # both events of a gap come from one row, so the window runs once
+    event = lambda month, churned, back: F.struct(
+        month.alias("activity_month"), F.lit(churned).alias("churned"), F.lit(back).alias("reactivated")
     )
-    back = lapsed.where(F.col("next_day").isNotNull()).select(
-        F.trunc("next_day", "month").alias("activity_month"),
-        F.lit(0).alias("churned"),
-        F.lit(1).alias("reactivated"),
-    )
-    return (
-        churn.unionByName(back)
-        .groupBy("activity_month")
-        .agg(
-            F.sum("churned").cast("bigint").alias("churned_proxies"),
-            F.sum("reactivated").cast("bigint").alias("reactivated_proxies"),
-        )
+    churn = event(F.trunc(F.date_add("activity_day", gap_days), "month"), 1, 0)
+    back = F.when(F.col("next_day").isNotNull(), event(F.trunc("next_day", "month"), 0, 1))
+    events = lapsed.select(F.explode(F.array_compact(F.array(churn, back))).alias("e")).select("e.*")
+    return events.groupBy("activity_month").agg(
+        F.sum("churned").cast("bigint").alias("churned_proxies"),
+        F.sum("reactivated").cast("bigint").alias("reactivated_proxies"),
     )
