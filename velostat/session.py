@@ -29,8 +29,7 @@ def configure_session(spark: SparkSession) -> SparkSession:
     if not _checkpoint_dir(spark) and (spark.sparkContext.master or "").startswith("local"):
         # local mode only (tests, one machine): a temp folder is shared by all tasks
         local = os.path.join(tempfile.gettempdir(), f"velostat-ckpt-{uuid.uuid4().hex[:8]}")
-        spark.sparkContext.setCheckpointDir(local)
-        spark.conf.set("spark.checkpoint.dir", local)
+        spark.sparkContext.setCheckpointDir(local)  # a core setting: not settable via spark.conf
     return spark
 
 
