@@ -37,7 +37,7 @@ def session() -> SparkSession:
         .appName("velostat-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", str(max(8, 2 * CPUS)))
+        .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * CPUS)))
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
     )

@@ -102,3 +102,9 @@ def test_curated_write_counts_and_partitions(spark, tmp_dir):
     back = spark.read.parquet(f"{tmp_dir}/trips")
     assert n == back.count() and "start_month" in back.columns
     assert back.groupBy("ride_id").count().where(F.col("count") > 1).count() == 0
+
+
+def test_surrogate_stem_is_the_decoded_file_name(spark, tmp_dir):
+    _write(tmp_dir, "2019 01+legacy.v2.csv", "tripduration,starttime,stoptime,usertype\n60,1/2/2025 3:04:05,1/2/2025 3:05:05,Subscriber\n")
+    row = csv_ingest.ingest_csv(spark, tmp_dir).first()
+    assert row.ride_id == "2019 01+legacy.v2_000000000001"
