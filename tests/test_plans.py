@@ -28,12 +28,6 @@ def test_no_cross_joins_or_python_in_registered_plans(spark, name):
     assert not [f for f in FORBIDDEN if f in text], text[:2000]
 
 
-def test_dedup_limits_before_the_shuffle(spark):
-    text = plan_text(curate.dedupe_rides(b.raw_rides(spark, SF_SMALL)))
-    partial = text.index("WindowGroupLimit")
-    assert "Partial" in text and partial < text.index("Exchange") or "Partial" in text
-
-
 def test_dedup_partial_limit_precedes_exchange(spark):
     text = plan_text(curate.dedupe_rides(b.raw_rides(spark, SF_SMALL)))
     tree = text.split("\n\n")[0]

@@ -1,7 +1,6 @@
 """Hot keys: a third of all rows on one ride id / one station / NULL ids.
 Results are checked against a brute-force pandas computation."""
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from velostat.operators import analytics, curate, quality
