@@ -71,3 +71,19 @@ def test_dq_summary_has_no_full_scan_per_check(spark):
     tree = text.split("\n\n")[0]
     # two trip branches (ride-level, station-level) + one for the station dimension
     assert tree.count("Scan parquet") <= 3
+
+
+def test_other_zone_windows_are_not_pruned_wrongly(spark, tmp_dir):
+    """Partitions are New York months; a Tokyo window must still see every row."""
+    from velostat.operators.curate import curate_trips
+
+    raw = b.volume_rides(spark, SF_SMALL)
+    tables.write_curated_trips(raw, f"{tmp_dir}/trips")
+    gold = spark.read.parquet(f"{tmp_dir}/trips")
+    flat = curate_trips(raw)
+    for tz in ("Asia/Tokyo", "America/New_York"):
+        a = analytics.peak_hours(gold, "1997-01-01", "1998-01-01", tz=tz)
+        c = analytics.peak_hours(flat, "1997-01-01", "1998-01-01", tz=tz)
+        assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
+    text = plan_text(analytics.peak_hours(gold, "1997-01-01", "1998-01-01"))
+    assert "(start_month#" in text and "<= 1997-12)" in text

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from velostat.functions.columns import rider_proxy_key, utc_to_local
+from velostat.schema import NY_TZ
 
 # Partition column of the curated trips table ('yyyy-MM' of the local start).
 MONTH_PARTITION = "start_month"
@@ -24,14 +25,17 @@ def _as_datetime(value) -> dt.datetime:
     return dt.datetime.fromisoformat(str(value))
 
 
-def local_window(trips: DataFrame, start, end, column: str = "started_at") -> DataFrame:
-    """Trips whose New York wall-clock start is in [start, end).
+def local_window(trips: DataFrame, start, end, column: str = "started_at", tz: str = NY_TZ) -> DataFrame:
+    """Trips whose wall-clock start in ``tz`` is in [start, end).
 
     The wall clock is an expression Parquet cannot filter on, so the same bounds
-    widened by a day are added on the stored instant; Catalyst pushes those to
-    the scan (row-group statistics, and month partitions when present)."""
+    widened by a day (more than any zone offset) are added on the stored
+    instant; Catalyst pushes those to the scan.  On curated tables, which are
+    partitioned by New York month, the month folders outside the window are
+    pruned too (only when ``tz`` is that zone: elsewhere a local month edge can
+    fall in the neighbouring folder)."""
     lo, hi = _as_datetime(start), _as_datetime(end)
-    local = utc_to_local(column)
+    local = utc_to_local(column, tz)
     stored = F.col(column).cast("timestamp_ntz")
     cond = (
         (stored >= F.lit(lo - dt.timedelta(days=1)))
@@ -39,21 +43,21 @@ def local_window(trips: DataFrame, start, end, column: str = "started_at") -> Da
         & (local >= F.lit(lo))
         & (local < F.lit(hi))
     )
-    if MONTH_PARTITION in trips.columns:
-        # curated tables are partitioned by local start month: prune folders
+    if MONTH_PARTITION in trips.columns and tz == NY_TZ:
+        last = hi - dt.timedelta(microseconds=1)  # the end is exclusive
         cond = cond & (F.col(MONTH_PARTITION) >= F.lit(lo.strftime("%Y-%m"))) & (
-            F.col(MONTH_PARTITION) <= F.lit(hi.strftime("%Y-%m"))
+            F.col(MONTH_PARTITION) <= F.lit(last.strftime("%Y-%m"))
         )
     return trips.filter(cond)
 
 
-def rider_day_activity(trips: DataFrame, start, end) -> DataFrame:
+def rider_day_activity(trips: DataFrame, start, end, tz: str = NY_TZ) -> DataFrame:
     """Unique (local day, rider proxy) pairs inside the window.
 
     Deduplicates on the proxy text first and hashes once per surviving pair,
     rather than hashing every trip."""
-    keyed = local_window(trips, start, end).select(
-        F.to_date(utc_to_local("started_at")).alias("activity_day"),
+    keyed = local_window(trips, start, end, tz=tz).select(
+        F.to_date(utc_to_local("started_at", tz)).alias("activity_day"),
         rider_proxy_key("member_casual", "rideable_type", "start_station_id", "end_station_id").alias("_key"),
     )
     return keyed.distinct().select("activity_day", F.md5("_key").alias("rider_proxy_id"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from velostat.functions.columns import hour_label, normalize_station_id, rounded_ratio, utc_to_local
 from velostat.operators.activity import local_window
 from velostat.operators.stations import normalized_stations
-from velostat.schema import MAX_TRIP_SECONDS
+from velostat.schema import MAX_TRIP_SECONDS, NY_TZ
 
 PERCENTILES = (0.5, 0.9, 0.95)
 
@@ -18,14 +18,14 @@ def _valid_duration(d="trip_duration_seconds"):
     return d.isNotNull() & (d > 0) & (d < MAX_TRIP_SECONDS)
 
 
-def peak_hours(trips: DataFrame, start, end, with_label: bool = True) -> DataFrame:
-    """Trips per New York local hour inside the window (24 groups after a
-    partial aggregate, so nothing large is sorted)."""
-    hour = F.hour(utc_to_local("started_at")).cast("bigint")
+def peak_hours(trips: DataFrame, start, end, with_label: bool = True, tz: str = NY_TZ) -> DataFrame:
+    """Trips per local hour inside the window (24 groups after a partial
+    aggregate, so nothing large is sorted)."""
+    hour = F.hour(utc_to_local("started_at", tz)).cast("bigint")
     keys = [hour.alias("trip_hour")]
     if with_label:
         keys.append(hour_label(hour).alias("trip_hour_label"))
-    return local_window(trips, start, end).groupBy(*keys).agg(F.count(F.lit(1)).alias("trip_count"))
+    return local_window(trips, start, end, tz=tz).groupBy(*keys).agg(F.count(F.lit(1)).alias("trip_count"))
 
 
 def duration_percentiles(trips: DataFrame) -> DataFrame:
