@@ -108,3 +108,19 @@ def test_surrogate_stem_is_the_decoded_file_name(spark, tmp_dir):
     _write(tmp_dir, "2019 01+legacy.v2.csv", "tripduration,starttime,stoptime,usertype\n60,1/2/2025 3:04:05,1/2/2025 3:05:05,Subscriber\n")
     row = csv_ingest.ingest_csv(spark, tmp_dir).first()
     assert row.ride_id == "2019 01+legacy.v2_000000000001"
+
+
+def test_rfc4180_quotes_and_compressed_files(spark, tmp_dir):
+    import gzip
+
+    text = (
+        "ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,member_casual\n"
+        'Q1,classic_bike,2025-01-02 03:04:05,2025-01-02 03:14:05,"Bway ""Uptown"", 5th",72,member\n'
+    )
+    _write(f"{tmp_dir}/plain", "a.csv", text)
+    row = csv_ingest.ingest_csv(spark, f"{tmp_dir}/plain").first()
+    assert row.start_station_name == 'Bway "Uptown", 5th' and row.start_station_id == "72"
+    with gzip.open(f"{tmp_dir}/plain/b.csv.gz", "wt") as f:
+        f.write(text.replace("Q1", "Q2"))
+    ids = sorted(r.ride_id for r in csv_ingest.ingest_csv(spark, f"{tmp_dir}/plain", glob="*.csv*").collect())
+    assert ids == ["Q1", "Q2"]

@@ -74,11 +74,13 @@ def write_trip_csvs(spark: SparkSession, sf_dir: str) -> str:
     (
         modern_layout(rides.where(~_is_legacy()))
         .write.option("header", "true")
+        .option("escape", '"')
         .csv(f"{root}/modern")
     )
     (
         legacy_layout(rides.where(_is_legacy()))
         .write.option("header", "true")
+        .option("escape", '"')
         .option("maxRecordsPerFile", LEGACY_FILE_ROWS)
         .csv(f"{root}/legacy")
     )

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from velostat.operators.curate import curation_filter
 from velostat.session import scratch_dir
-from velostat.sources.csv_ingest import _lookup, normalize_trips
+from velostat.sources.csv_ingest import CSV_OPTIONS, _lookup, normalize_trips
 
 
 def trip_stream(spark: SparkSession, landing: str, header: list[str], max_files_per_trigger: int | None = None) -> DataFrame:
@@ -30,7 +30,7 @@ def trip_stream(spark: SparkSession, landing: str, header: list[str], max_files_
     if "ride_id" not in _lookup(header):
         raise ValueError("streaming ingest needs a ride_id column; use the batch ingest for this layout")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    reader = spark.readStream.schema(schema).option("header", "true").option("pathGlobFilter", "*.csv")
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS).option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return normalize_trips(reader.csv(landing), header)
