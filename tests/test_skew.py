@@ -64,3 +64,18 @@ def test_hot_station_imbalance(spark):
     assert flows["7.1"].outbound_trips == outbound["7.1"]
     assert flows["7.1"].inbound_trips == inbound.get("7.1", 0)
     assert sum(r.net_inflow for r in flows.values()) == int(inbound.sum() - outbound.sum())
+
+
+def test_histogram_percentiles_equal_brute_force(spark):
+    import numpy as np
+
+    rides = _skewed(spark)
+    d = rides.where("trip_duration_seconds > 0 and trip_duration_seconds < 86400").toPandas().trip_duration_seconds
+    row = analytics.duration_percentiles(rides).first()
+    for col, q in (("p50_minutes", 50), ("p90_minutes", 90), ("p95_minutes", 95)):
+        assert abs(getattr(row, col) - np.percentile(d, q) / 60.0) < 1e-9
+    seg = {r.member_casual: r for r in analytics.segment_usage(rides).collect()}
+    pdf = rides.toPandas()
+    for member, grp in pdf.groupby("member_casual"):
+        assert seg[member].trip_count == len(grp)
+        assert abs(seg[member].median_duration_minutes - np.median(grp.trip_duration_seconds) / 60.0) < 1e-9
