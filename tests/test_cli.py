@@ -20,3 +20,14 @@ def test_ingest_analytics_report(spark, tmp_dir):
     hours = sections["Peak hours"].collect()
     assert 0 < len(hours) <= 24
     assert sum(r.trip_count for r in hours) <= counts["trips"]
+
+
+def test_command_line_entry_points(spark, tmp_dir, capsys):
+    raw = tf.write_trip_csvs(spark, SF_SMALL)
+    wh = f"{tmp_dir}/wh"
+    assert cli.main(["ingest", "--raw", raw, "--warehouse", wh]) == 0
+    assert cli.main(["report", "--warehouse", wh, "--start", "2024-01-01", "--end", "2025-01-01", "--rows", "2"]) == 0
+    assert cli.main(["analytics", "--warehouse", wh, "--start", "2024-01-01", "--end", "2025-01-01",
+                     "--rows", "2", "--tz", "Europe/Berlin"]) == 0
+    out = capsys.readouterr().out
+    assert "Loaded" in out and "=== Top Start Stations ===" in out and "=== Churn and reactivation (30-day gap) ===" in out

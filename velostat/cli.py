@@ -17,6 +17,7 @@ import sys
 
 from velostat.operators import activity, analytics, quality
 from velostat.operators.report import summary_report
+from velostat.schema import NY_TZ
 from velostat.session import get_session, scratch_dir
 from velostat.sources import csv_ingest, tables
 
@@ -31,11 +32,11 @@ def _paths(warehouse: str) -> dict[str, str]:
     }
 
 
-def run_ingest(spark, raw_dir: str, warehouse: str, reuse_silver: bool = False) -> dict[str, int]:
+def run_ingest(spark, raw_dir: str, warehouse: str, reuse_silver: bool = False, tz: str = NY_TZ) -> dict[str, int]:
     p = _paths(warehouse)
     normalized = None
     if not (reuse_silver and tables.silver_exists(spark, p["silver"])):
-        normalized = csv_ingest.ingest_csv(spark, raw_dir)
+        normalized = csv_ingest.ingest_csv(spark, raw_dir, tz=tz)
     silver_trips, silver_stations = tables.build_silver(spark, normalized, p["silver"], reuse=reuse_silver)
     n_stations = tables.write_stations(silver_stations, p["stations"])
     n_trips = tables.write_curated_trips(silver_trips, p["trips"])
@@ -44,11 +45,11 @@ def run_ingest(spark, raw_dir: str, warehouse: str, reuse_silver: bool = False)
     return {"stations": n_stations, "trips": n_trips}
 
 
-def analytics_sections(spark, warehouse: str, start: str, end: str, k: int = 20) -> dict:
+def analytics_sections(spark, warehouse: str, start: str, end: str, k: int = 20, tz: str = NY_TZ) -> dict:
     p = _paths(warehouse)
     trips, stations = spark.read.parquet(p["trips"]), spark.read.parquet(p["stations"])
     days = activity.stage_rider_days(
-        activity.rider_day_activity(trips, start, end), scratch_dir(spark, "rider_day_activity")
+        activity.rider_day_activity(trips, start, end, tz=tz), scratch_dir(spark, "rider_day_activity")
     )
     monthly = activity.monthly_active_proxy(days)
     return {
@@ -56,7 +57,7 @@ def analytics_sections(spark, warehouse: str, start: str, end: str, k: int = 20)
         "Weekly active users proxy": activity.weekly_active_proxy(days).orderBy("activity_week_start"),
         "Monthly active users proxy": monthly.orderBy("activity_month"),
         "Month-over-month active user change": activity.mom_growth(monthly).orderBy("activity_month"),
-        "Peak hours": analytics.peak_hours(trips, start, end).orderBy("trip_hour"),
+        "Peak hours": analytics.peak_hours(trips, start, end, tz=tz).orderBy("trip_hour"),
         "Trip duration percentiles (minutes)": analytics.duration_percentiles(trips),
         "Top start stations": analytics.top_start_stations(trips, stations, k=k),
         "Top end stations": analytics.top_end_stations(trips, stations, k=k),
@@ -79,25 +80,27 @@ def main(argv=None) -> int:
     ing.add_argument("--raw", required=True, help="folder searched recursively for *.csv")
     ing.add_argument("--warehouse", required=True)
     ing.add_argument("--reuse-silver", action="store_true")
+    ing.add_argument("--tz", default=NY_TZ, help="zone of the wall clocks in the CSV files")
     for name in ("analytics", "report"):
         sp = sub.add_parser(name)
         sp.add_argument("--warehouse", required=True)
         sp.add_argument("--start", default="2025-01-01", help="local-time window start (inclusive)")
         sp.add_argument("--end", default="2026-01-01", help="local-time window end (exclusive)")
         sp.add_argument("--rows", type=int, default=400, help="rows shown per section")
+        sp.add_argument("--tz", default=NY_TZ, help="zone of the local-time window and hours")
     ap.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
     args = ap.parse_args(argv)
 
     spark = get_session(args.master)
     if args.cmd == "ingest":
-        counts = run_ingest(spark, args.raw, args.warehouse, args.reuse_silver)
+        counts = run_ingest(spark, args.raw, args.warehouse, args.reuse_silver, args.tz)
         print(f"Loaded {counts['stations']:,} stations and {counts['trips']:,} trips; quality checks logged.")
     elif args.cmd == "analytics":
-        _print(analytics_sections(spark, args.warehouse, args.start, args.end), args.rows)
+        _print(analytics_sections(spark, args.warehouse, args.start, args.end, tz=args.tz), args.rows)
     else:
         p = _paths(args.warehouse)
         trips, stations = spark.read.parquet(p["trips"]), spark.read.parquet(p["stations"])
-        _print(summary_report(trips, stations, args.start, args.end, scratch_dir(spark, "report")), args.rows)
+        _print(summary_report(trips, stations, args.start, args.end, scratch_dir(spark, "report"), tz=args.tz), args.rows)
     return 0
 
 

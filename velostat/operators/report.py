@@ -11,15 +11,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velostat.operators import activity, analytics
+from velostat.schema import NY_TZ
 
 
-def summary_report(trips: DataFrame, stations: DataFrame, start, end, staging_dir: str, k: int = 10) -> dict[str, DataFrame]:
+def summary_report(
+    trips: DataFrame, stations: DataFrame, start, end, staging_dir: str, k: int = 10, tz: str = NY_TZ
+) -> dict[str, DataFrame]:
     """Report sections by title; the caller collects or shows them."""
-    days = activity.stage_rider_days(activity.rider_day_activity(trips, start, end), f"{staging_dir}/rider_day_activity")
+    days = activity.stage_rider_days(
+        activity.rider_day_activity(trips, start, end, tz=tz), f"{staging_dir}/rider_day_activity"
+    )
     return {
         "Recent Daily Active Users (Proxy)": activity.recent_daily_active(days, k=10),
         "Monthly Active Users (Proxy)": activity.monthly_active_proxy(days).orderBy("activity_month"),
-        "Trips by Hour (Local Time)": analytics.peak_hours(trips, start, end).orderBy("trip_hour"),
+        "Trips by Hour (Local Time)": analytics.peak_hours(trips, start, end, tz=tz).orderBy("trip_hour"),
         "Top Start Stations": analytics.top_start_stations(trips, stations, k=k),
         "Station Inflow vs Outflow Imbalance": analytics.station_imbalance(trips, stations, k=k),
         "Member vs Casual Usage": analytics.segment_usage(trips, round_median=True).orderBy(
