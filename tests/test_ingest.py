@@ -124,3 +124,23 @@ def test_rfc4180_quotes_and_compressed_files(spark, tmp_dir):
         f.write(text.replace("Q1", "Q2"))
     ids = sorted(r.ride_id for r in csv_ingest.ingest_csv(spark, f"{tmp_dir}/plain", glob="*.csv*").collect())
     assert ids == ["Q1", "Q2"]
+
+
+def test_surrogate_ids_without_broadcast(spark, tmp_dir, monkeypatch):
+    """Above the size bound the split table is joined by shuffle; ids stay exact."""
+    monkeypatch.setattr(csv_ingest, "SPLIT_BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    header = LEGACY.splitlines()[0]
+    body = "\n".join(
+        f'"{60 + i}","1/2/2025 3:04:05","1/2/2025 3:14:05","{i}","S","40.7","-74.0","2","T","40.7","-74.0","1","Subscriber","",""'
+        for i in range(1, 3001)
+    )
+    _write(tmp_dir, "c.csv", header + "\n" + body + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32768")
+    try:
+        rows = csv_ingest.ingest_csv(spark, tmp_dir).select("ride_id", "start_station_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r.ride_id: r.start_station_id for r in rows} == {f"c_{i:012d}": str(i) for i in range(1, 3001)}
