@@ -6,7 +6,8 @@ analytics query and the quality checks against the Parquet tables.  Each
 step is timed as the median of 3 runs after a warm-up.
 Prints one JSON line.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_DRIVER_MEMORY (default 4g), BENCH_SHUFFLE_PARTITIONS (default 2 x CPUs).
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ def session() -> SparkSession:
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("velostat-bench")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "4g"))
         .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * CPUS)))
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
