@@ -28,7 +28,30 @@ def canonical(columns, rows):
     return sorted(tuple(repr(_norm(r[i])) for i in order) for r in rows)
 
 
+# Spark type -> the DuckDB type an equal column has.
+DUCKDB_TYPE = {
+    "LongType": "BIGINT",
+    "IntegerType": "INTEGER",
+    "DoubleType": "DOUBLE",
+    "StringType": "VARCHAR",
+    "DateType": "DATE",
+    "TimestampNTZType": "TIMESTAMP",
+    "BooleanType": "BOOLEAN",
+}
+
+
+def same_types(spark_df, con, sql: str) -> tuple[bool, str]:
+    mine = {f.name: DUCKDB_TYPE.get(type(f.dataType).__name__, str(f.dataType)) for f in spark_df.schema.fields}
+    rel = con.sql(sql)
+    theirs = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    diff = {k: (mine.get(k), theirs.get(k)) for k in set(mine) | set(theirs) if mine.get(k) != theirs.get(k)}
+    return (not diff), (f"types {diff}" if diff else "")
+
+
 def same_result(spark_df, con, sql: str) -> tuple[bool, str]:
+    ok, why = same_types(spark_df, con, sql)
+    if not ok:
+        return False, why
     rows = [tuple(r) for r in spark_df.collect()]
     cur = con.execute(sql)
     ocols = [d[0] for d in cur.description]
