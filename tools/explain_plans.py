@@ -76,6 +76,21 @@ def main():
         "time AQE may still coalesce partitions, turn a sort-merge join into a broadcast",
         "join from measured sizes, or split skewed partitions.  Per scan: the columns read",
         "and the filters pushed to Parquet.\n",
+        "What to look for:\n",
+        "- `curate_trips`: a `WindowGroupLimit` (partial) sits below the `Exchange`, so a",
+        "  repeated ride id leaves each map task as one row.",
+        "- `rider_day_activity` and `peak_hours`: the gold scan shows `PartitionFilters` on",
+        "  `start_month` plus `PushedFilters` on `started_at`.",
+        "- `duration_percentiles` and `segment_usage`: a hashed histogram",
+        "  (`HashAggregate` / `Exchange` / `HashAggregate`) comes before the percentile",
+        "  aggregate, so the final task sees at most 86,399 rows per group.",
+        "- Station queries: `HashAggregate` over the trips. `SortAggregate` appears only over",
+        "  the small per-(station, name) result and the dimension, and the join is a",
+        "  `BroadcastHashJoin` chosen by Spark's own size check on the per-station side.",
+        "- `dq_summary`: one aggregate per column family (ride-level, station-level); the",
+        "  anti join runs against distinct station ids.",
+        "- No plan has `CartesianProduct`, `BroadcastNestedLoopJoin` or Python evaluation",
+        "  nodes (`tests/test_plans.py` asserts this for every registered query).\n",
     ]
     for title, df in plans.items():
         tree, scans = summarize(formatted(df))
