@@ -25,3 +25,31 @@ SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_char
        chars AS formatted_chars, true AS identical
 FROM said
 """
+
+_ITEM_WORDS = (
+    "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+LLM_ORACLE["op7_decontamination"] = f"""
+WITH items AS (SELECT item_id, {_ITEM_WORDS.format("text")} AS w FROM benchmark WHERE text IS NOT NULL),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM items WHERE len(w) > 0)
+), docs AS (SELECT doc_id, {_ITEM_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM docs, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+), hits AS (SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (n, phrase)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velostat.llm import chat, mixing, quality_rules, simhash
+from velostat.llm import chat, decontaminate, mixing, quality_rules, simhash
 from velostat.llm.common import read_table
 from velostat.session import configure_session
 
@@ -23,6 +23,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item."""
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontaminate.find_contamination(docs, items).drop("key")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.fingerprint_report(read_table(spark, sf_dir, "documents"))
@@ -46,4 +52,4 @@ def _configured(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-LLM_QUERIES = {f.__name__: _configured(f) for f in (op4_quality_rules, op6_mixing, op8_simhash, op10_chat_formatting)}
+LLM_QUERIES = {f.__name__: _configured(f) for f in (op4_quality_rules, op6_mixing, op7_decontamination, op8_simhash, op10_chat_formatting)}
