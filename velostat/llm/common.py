@@ -208,6 +208,20 @@ _POS_BITS = 32
 _POS_MASK = np.uint64((1 << _POS_BITS) - 1)
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray, rolling: RollingHash) -> np.ndarray:
+    """A 64-bit hash of each word, worked out over stretches of ``BLOCK_BYTES``."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    first = 0
+    while first < len(starts):
+        origin = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, origin + BLOCK_BYTES, side="right")))
+        a, b = starts[first:last] - origin, ends[first:last] - origin
+        prefix = rolling.prefix(values[data[origin : origin + b[-1]]])
+        out[first:last] = rolling.spans(prefix, a, b) + (b - a).astype(np.uint64)
+        first = last
+    return mix64(out)
+
+
 def select_minima(hashes: np.ndarray, width: int) -> np.ndarray:
     """For each window of ``width`` consecutive hashes, the position of its
     smallest one (the last of equal ones).  The choice depends on the hashes in

@@ -39,6 +39,7 @@ from velostat.llm.common import (
     stage,
     text_blocks,
     text_key,
+    word_hashes,
 )
 
 WINDOW = 10
@@ -74,10 +75,8 @@ class _BlockWords:
         self.first = np.searchsorted(self.starts, block.starts)
         self.last = np.searchsorted(self.starts, block.ends)
         self.text = np.repeat(np.arange(len(block.starts)), self.last - self.first)
-        chars, grams = RollingHash(_BYTE_BASE), RollingHash(_WORD_BASE)
-        spans = chars.spans(chars.prefix(values[self.data]), self.starts, self.ends)
-        self.grams = grams
-        self.prefix = grams.prefix(mix64(spans + (self.ends - self.starts).astype(np.uint64)))
+        self.grams = RollingHash(_WORD_BASE)
+        self.prefix = self.grams.prefix(word_hashes(self.data, self.starts, self.ends, values, RollingHash(_BYTE_BASE)))
 
     def windows(self, n: int, gram: int):
         """(start, position of the chosen k-gram, its hash) of each window of n words of one text."""

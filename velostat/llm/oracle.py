@@ -53,3 +53,21 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+LLM_ORACLE["op9_substring_dedup"] = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50)
+), repeated AS (
+  SELECT doc_id, i FROM windows JOIN (SELECT h, min(doc_id) AS least FROM windows GROUP BY h) USING (h) WHERE doc_id > least
+), gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM repeated),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs) ANTI JOIN gone USING (doc_id, p)
+  GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velostat.llm import chat, decontaminate, mixing, quality_rules, simhash
+from velostat.llm import chat, decontaminate, mixing, quality_rules, simhash, substrings
 from velostat.llm.common import read_table
 from velostat.session import configure_session
 
@@ -34,6 +34,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_report(read_table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat a window of a document with a smaller id."""
+    return substrings.dedup_substrings(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one made of control strings, formatted and read back."""
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -52,4 +57,4 @@ def _configured(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-LLM_QUERIES = {f.__name__: _configured(f) for f in (op4_quality_rules, op6_mixing, op7_decontamination, op8_simhash, op10_chat_formatting)}
+LLM_QUERIES = {f.__name__: _configured(f) for f in (op4_quality_rules, op6_mixing, op7_decontamination, op8_simhash, op9_substring_dedup, op10_chat_formatting)}
