@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velostat.llm import chat, decontaminate, mixing, quality_rules, simhash, substrings
+from velostat.llm import chat, decontaminate, mixing, quality_rules, simhash, substrings, suffixes
 from velostat.llm.common import read_table
 from velostat.session import configure_session
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in a 100-byte string which starts earlier."""
+    return suffixes.dedup_suffixes(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the log-likelihood verdict of every document; labelled good ones are the target."""
     trusted = read_table(spark, sf_dir, "labels").where("quality = 1")
@@ -57,4 +62,4 @@ def _configured(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-LLM_QUERIES = {f.__name__: _configured(f) for f in (op4_quality_rules, op6_mixing, op7_decontamination, op8_simhash, op9_substring_dedup, op10_chat_formatting)}
+LLM_QUERIES = {f.__name__: _configured(f) for f in (op2_suffix_dedup, op4_quality_rules, op6_mixing, op7_decontamination, op8_simhash, op9_substring_dedup, op10_chat_formatting)}
