@@ -42,6 +42,7 @@ from velostat.llm.common import (
     stage,
     text_blocks,
     text_key,
+    unstage,
 )
 
 _LAST_ID = (1 << 63) - 1
@@ -152,14 +153,11 @@ def repeated_spans(
     ``other_document``: a window repeats if it starts in a document with a smaller
     id; otherwise also if it starts earlier in the same document."""
     contexts = stage(scan_contexts(docs, tokens, window, gram, overlap), "repeat-contexts")
-    counts = contexts.groupBy("a").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.min("d").alias("_low"),
-        F.max("d").alias("_high"),
-        (F.min("c") != F.max("c")).alias("mixed"),
-    )
-    candidates = counts.where("_low < _high" if other_document else "_rows > 1").select("a", "mixed")
+    twice = F.min("d") < F.max("d") if other_document else F.count(F.lit(1)) > 1
+    counts = contexts.groupBy("a").agg(twice.alias("_twice"), (F.min("c") != F.max("c")).alias("mixed"))
+    candidates = stage(counts.where("_twice").select("a", "mixed"), "repeat-anchors")
     rows = stage(contexts.join(candidates, "a"), "repeat-candidates")
+    unstage(contexts, candidates)
 
     place = F.struct("d", "key", "lo")
     classes = rows.groupBy("a", "c").agg(
@@ -173,6 +171,7 @@ def repeated_spans(
         .select("d", "key", "a", "c", "lo", "n", "mixed", later.alias("later")),
         "repeat-judged",
     )
+    unstage(rows)
 
     # one region per class that has to be compared, grouped by the document it stands in
     regions = classes.where("mixed").select("first.d", "first.key", F.struct("a", "c", "first.lo", "n", "off").alias("region"))

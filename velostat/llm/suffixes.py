@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velostat.llm.common import byte_values, mix64, runs, signed, spark_schema, stage
+from velostat.llm.common import byte_values, mix64, runs, signed, spark_schema, stage, unstage
 from velostat.llm.repeats import Tokens, keyed, repeated_spans, texts_with_regions, with_removals
 
 LENGTH = 100
@@ -38,7 +38,6 @@ SLICE = 8_000
 _SEED, _BASE = 13, 0x9E3779B97F4A7C15
 _REGIONS = pa.schema(
     [
-        ("suffix", pa.binary()),
         ("a", pa.int64()),
         ("c", pa.int64()),
         ("d", pa.int64()),
@@ -105,7 +104,6 @@ def _region_rows(length: int):
                 context = [raw[s : s + k - 1 + length].tobytes() for s, k in zip(lo, n)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([x[o:] for x, o in zip(context, off)], type=pa.binary()),
                         pa.array(a),
                         pa.array(c),
                         pa.array(np.full(len(n), d, dtype=np.int64)),
@@ -180,8 +178,10 @@ def _sorted_suffixes(length: int):
 
     def compare(texts: DataFrame) -> DataFrame:
         regions = stage(texts.mapInArrow(_region_rows(length), spark_schema(_REGIONS)), "suffix-regions")
-        buckets = regions.repartitionByRange("suffix").sortWithinPartitions("suffix")
-        found = stage(buckets.drop("suffix").mapInArrow(bucket, spark_schema(_RESULT)), "suffix-sorted")
+        suffix = F.expr("substring(context, off + 1)")  # from the anchor on
+        buckets = regions.repartitionByRange(suffix).sortWithinPartitions(suffix)
+        found = stage(buckets.mapInArrow(bucket, spark_schema(_RESULT)), "suffix-sorted")
+        unstage(regions)
         place = F.struct("d", "key", "at")
         edge = found.where("s1 is not null")
         least = edge.groupBy("s1", "s2").agg(F.min(place).alias("_least"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
