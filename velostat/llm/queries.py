@@ -4,19 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velostat.llm import chat, decontaminate, mixing, quality_rules, simhash, substrings, suffixes
+from velostat.llm import chat, classifier, decontaminate, mixing, quality_rules, simhash, substrings, suffixes, tokens
 from velostat.llm.common import read_table
 from velostat.session import configure_session
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum in the token files written from the whole table."""
+    return tokens.tokenize(spark, read_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that lie in a 100-byte string which starts earlier."""
     return suffixes.dedup_suffixes(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels that are not held out."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return classifier.classify(read_table(spark, sf_dir, "documents"), labels)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the log-likelihood verdict of every document; labelled good ones are the target."""
     trusted = read_table(spark, sf_dir, "labels").where("quality = 1")
@@ -62,4 +77,4 @@ def _configured(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-LLM_QUERIES = {f.__name__: _configured(f) for f in (op2_suffix_dedup, op4_quality_rules, op6_mixing, op7_decontamination, op8_simhash, op9_substring_dedup, op10_chat_formatting)}
+LLM_QUERIES = {f.__name__: _configured(f) for f in (op1_token_output, op2_suffix_dedup, op3_quality_classifier, op4_quality_rules, op6_mixing, op7_decontamination, op8_simhash, op9_substring_dedup, op10_chat_formatting)}
