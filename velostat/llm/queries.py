@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velostat.llm import chat, classifier, decontaminate, mixing, quality_rules, simhash, substrings, suffixes, tokens
+from velostat.llm import chat, classifier, decontaminate, language, mixing, quality_rules, simhash, substrings, suffixes, tokens
 from velostat.llm.common import read_table
 from velostat.session import configure_session
 
@@ -38,6 +38,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score_quality(read_table(spark, sf_dir, "documents"), trusted)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page; the text model is fitted on documents."""
+    rows = language.page_rows(read_table(spark, sf_dir, "pages"))
+    found = language.identify(rows, read_table(spark, sf_dir, "documents").select("text", "lang"))
+    return found.select(F.col("id").alias("page_id"), "host", "lang", "confidence", "text_lang")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from every document by the mix of all sources."""
     return mixing.mixing_report(read_table(spark, sf_dir, "documents"))
@@ -77,4 +84,4 @@ def _configured(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-LLM_QUERIES = {f.__name__: _configured(f) for f in (op1_token_output, op2_suffix_dedup, op3_quality_classifier, op4_quality_rules, op6_mixing, op7_decontamination, op8_simhash, op9_substring_dedup, op10_chat_formatting)}
+LLM_QUERIES = {f.__name__: _configured(f) for f in (op1_token_output, op2_suffix_dedup, op3_quality_classifier, op4_quality_rules, op5_language_id, op6_mixing, op7_decontamination, op8_simhash, op9_substring_dedup, op10_chat_formatting)}
