@@ -221,6 +221,8 @@ def drop_unidentified(docs: DataFrame, min_confidence: float = MIN_CONFIDENCE) -
     """The rows of ``docs`` whose language is known: a text without any letter goes, and one whose
     best language is less likely than ``min_confidence``."""
     found = identify(document_rows(docs), docs.select("text", F.lower(F.col("lang").cast("string")).alias("lang")))
+    # staged, since a filter on the confidence would be pushed below and repeat its whole expression
+    found = stage(found, "language-found")
     bad = found.where(F.col("confidence") < min_confidence).select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.where(text.rlike(r"\p{L}"))

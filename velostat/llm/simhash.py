@@ -135,7 +135,9 @@ def fingerprint_links(distinct: DataFrame, distance: int = MAX_DISTANCE, chunk:
     if not 0 < distance < 8:
         raise ValueError("the index needs a distance of 1 to 7 bits")
     masks = [_byte_mask(c) for c in combinations(range(8), 8 - distance)]
-    listed = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("at", "value"))
+    # few bytes a row before the explode, many after it: keep all partitions
+    spread = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    listed = spread.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("at", "value"))
     lists = listed.groupBy("at", "value").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v"))
     lists = stage(lists.where("n > 1"), "simhash-lists")
     u, v = F.col("u"), F.col("v")
