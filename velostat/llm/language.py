@@ -156,8 +156,10 @@ def fuse(scores: DataFrame, size: int) -> DataFrame:
     s = s.withColumn("_domain", F.array(*[(at("domain_votes", i) + w * F.get("_whole", F.lit(i))) / (total("domain_votes") + w) for i in range(size)]))
     s = s.withColumn("_prior", F.array(*[(at("host_votes", i) + w * F.get("_domain", F.lit(i))) / (total("host_votes") + w) for i in range(size)]))
 
-    def seen(name: str, i: int) -> Column:  # P(value | language), up to a factor common to all languages
-        return F.log((at(name, i) + F.lit(1.0)) / (at("all_votes", i) + F.lit(float(size))))
+    def seen(name: str, i: int) -> Column:
+        """P(value | language) up to a common factor: P(language | value) / P(language), 1 for an unseen value."""
+        whole = F.get("_whole", F.lit(i))
+        return F.log((at(name, i) + w * whole) / (total(name) + w) / whole)
 
     evidence = [
         F.log(F.get("_prior", F.lit(i))) + F.get("likelihood", F.lit(i)) + seen("suffix_votes", i) + seen("declared_votes", i)
