@@ -66,7 +66,7 @@ def test_parse_local_timestamp(spark):
         "2025-01-02 03:04:05.5": dt.datetime(2025, 1, 2, 3, 4, 5, 500000),
         "2025-1-2 3:4:5": dt.datetime(2025, 1, 2, 3, 4, 5),
     }
-    bad = ["garbage", "2025-02-30 00:00:00", "13/02/2025 03:04", "2025-01-02 24:00:00", "1/2/25 3:04"]
+    bad = ["garbage", "2025-02-30 00:00:00", "13/02/2025 03:04", "01/02/2025 24:00:00", "2025-01-02 24:00:01"]
     got = _one(spark, list(ok) + bad, C.parse_local_timestamp)
     assert got == list(ok.values()) + [None] * len(bad)
 
@@ -101,3 +101,11 @@ def test_rounded_ratio_is_half_up_exact(spark):
     df = spark.createDataFrame([(1, 8), (3, 8), (1, 3), (2, 3), (0, 5)], "n long, d long")
     got = [r[0] for r in df.select(C.rounded_ratio("n", "d", 2)).collect()]
     assert got == [0.13, 0.38, 0.33, 0.67, 0.0]
+
+
+def test_end_of_day_and_short_years(spark):
+    """As the original engine reads them: next midnight, and the year as written."""
+    texts = ["2025-01-02 24:00:00", "2025-12-31 24:00", "2025-01-02T24:00:00.000", "1/2/25 3:04"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [str(r.p) for r in df.select(C.parse_local_timestamp("t").cast("string").alias("p")).collect()]
+    assert got == ["2025-01-03 00:00:00", "2026-01-01 00:00:00", "2025-01-03 00:00:00", "0025-01-02 03:04:00"]

@@ -126,21 +126,56 @@ def test_rfc4180_quotes_and_compressed_files(spark, tmp_dir):
     assert ids == ["Q1", "Q2"]
 
 
-def test_surrogate_ids_without_broadcast(spark, tmp_dir, monkeypatch):
-    """Above the size bound the split table is joined by shuffle; ids stay exact."""
-    monkeypatch.setattr(csv_ingest, "SPLIT_BROADCAST_ROWS", 0)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_surrogate_ids_when_the_split_layout_changes(spark, tmp_dir):
+    """Ids are the same whatever the split size when the plan is built and when it runs."""
     header = LEGACY.splitlines()[0]
     body = "\n".join(
         f'"{60 + i}","1/2/2025 3:04:05","1/2/2025 3:14:05","{i}","S","40.7","-74.0","2","T","40.7","-74.0","1","Subscriber","",""'
-        for i in range(1, 3001)
+        for i in range(1, 5001)
     )
     _write(tmp_dir, "c.csv", header + "\n" + body + "\n")
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "32768")
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    want = {f"c_{i:012d}": str(i) for i in range(1, 5001)}
     try:
-        rows = csv_ingest.ingest_csv(spark, tmp_dir).select("ride_id", "start_station_id").collect()
+        for built, run, threshold in (("65536", "32768", "-1"), ("32768", "10485760", "10485760")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            spark.conf.set(key, built)
+            trips = csv_ingest.ingest_csv(spark, tmp_dir).select("ride_id", "start_station_id")
+            spark.conf.set(key, run)
+            assert {r.ride_id: r.start_station_id for r in trips.collect()} == want
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.set(key, old)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert {r.ride_id: r.start_station_id for r in rows} == {f"c_{i:012d}": str(i) for i in range(1, 3001)}
+
+
+def test_colliding_headers_keep_the_last(spark, tmp_dir):
+    text = "ride_id,Start Station Name,start_station_name,started_at,ended_at,ended_at\nA,x,y,2025-01-02 03:04:05,,2025-01-02 03:14:05\n"
+    _write(tmp_dir, "a.csv", text)
+    row = csv_ingest.ingest_csv(spark, tmp_dir).first()
+    assert row.start_station_name == "y" and row.ended_at is not None
+
+
+def test_quoted_newlines(spark, tmp_dir):
+    text = 'ride_id,start_station_name,started_at\nA,"Main\nStreet ""1""",2025-01-02 03:04:05\nB,S,2025-01-02 03:04:05\n'
+    _write(tmp_dir, "a.csv", text)
+    rows = {r.ride_id: r.start_station_name for r in csv_ingest.ingest_csv(spark, tmp_dir, multiline=True).collect()}
+    assert rows == {"A": 'Main\nStreet "1"', "B": "S"}
+
+
+def test_many_headers_without_a_job_each(spark, tmp_dir):
+    import time
+
+    for i in range(300):
+        _write(tmp_dir, f"f{i}.csv", f"ride_id,started_at\nR{i},2025-01-02 03:04:05\n")
+    start = time.perf_counter()
+    groups = csv_ingest.group_by_header(spark, csv_ingest.list_csv_files(spark, tmp_dir))
+    assert len(groups) == 1 and time.perf_counter() - start < 10
+
+
+def test_ride_numbers_of_many_digits_stay_apart(spark):
+    from velostat.plans import text_queries
+
+    ids = spark.createDataFrame([(10**9 + k,) for k in range(5)], "event_id bigint")
+    assert ids.select(F.concat(F.lit("R"), b._number_text(F.col("event_id")))).distinct().count() == 5
+    assert "incremental_ingest" not in text_queries.TEXT_QUERIES

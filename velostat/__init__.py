@@ -1,9 +1,8 @@
 """velostat: trip analytics on Spark DataFrames.
 
 Layers: ``sources`` (CSV ingest, Parquet tables), ``functions`` (Column
-expressions), ``operators`` (curation, stations, quality checks, analytics),
-``plans`` (fixture bindings and the registered query catalog) and
-``streaming`` (incremental CSV arrival).
+expressions), ``operators`` (curation, stations, quality checks, analytics)
+and ``plans`` (fixture bindings and the registered query catalog).
 """
 
 from velostat.session import configure_session, get_session, scratch_dir

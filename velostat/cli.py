@@ -86,7 +86,7 @@ def main(argv=None) -> int:
         sp.add_argument("--warehouse", required=True)
         sp.add_argument("--start", default="2025-01-01", help="local-time window start (inclusive)")
         sp.add_argument("--end", default="2026-01-01", help="local-time window end (exclusive)")
-        sp.add_argument("--rows", type=int, default=400, help="rows shown per section")
+        sp.add_argument("--rows", type=int, default=2_000_000_000, help="rows shown per section (all of them by default)")
         sp.add_argument("--tz", default=NY_TZ, help="zone of the local-time window and hours")
     ap.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
     args = ap.parse_args(argv)

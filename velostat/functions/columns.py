@@ -13,13 +13,16 @@ from velostat.schema import NY_TZ
 
 # Fixed values (must equal the reference's): timestamp text formats, tried in
 # this order before a plain cast.  Written as Spark datetime patterns; single
-# letters accept one or two digits and SSSSSS accepts one to six fraction digits.
+# letters accept one or two digits (y: any number; '25' is the year 25) and
+# SSSSSS accepts one to six fraction digits.
 TIMESTAMP_PATTERNS = (
-    "yyyy-M-d H:m:s",
-    "yyyy-M-d H:m:s.SSSSSS",
-    "M/d/yyyy H:m:s",
-    "M/d/yyyy H:m",
+    "y-M-d H:m:s",
+    "y-M-d H:m:s.SSSSSS",
+    "M/d/y H:m:s",
+    "M/d/y H:m",
 )
+# An ISO date at 24:00 is the next midnight.
+END_OF_DAY = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})[ T]24:00(?::00(?:\.0*)?)?$"
 
 # Fixed value (must equal the reference's): what counts as a numeric station id.
 NUMERIC_STATION_ID = r"^[0-9]+(\.[0-9]+)?$"
@@ -58,10 +61,12 @@ def parse_local_timestamp(c: Column | str) -> Column:
     """Wall-clock text to TIMESTAMP_NTZ trying each pattern, then a plain cast.
 
     Parsed values are cast to NTZ under the session's UTC zone, so no wall
-    clock falls into a gap.  '24:00:00' and two-digit years give NULL."""
+    clock falls into a gap.  An ISO date at 24:00 gives the next midnight."""
     text = _col(c)
     attempts = [F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in TIMESTAMP_PATTERNS]
     attempts.append(text.try_cast("timestamp_ntz"))
+    next_day = F.date_add(F.nullif(F.regexp_extract(text, END_OF_DAY, 1), F.lit("")).try_cast("date"), 1)
+    attempts.append(next_day.cast("timestamp_ntz"))
     return F.coalesce(*attempts)
 
 

@@ -62,13 +62,11 @@ def _station_counts(trips: DataFrame, side: str, strict: bool) -> DataFrame:
     the big aggregate hashed; the name is then chosen over that small result."""
     pairs = (
         trips.where(F.col(f"{side}_station_id").isNotNull())
-        .groupBy(
-            normalize_station_id(f"{side}_station_id", strict).alias("station_id"),
-            F.col(f"{side}_station_name").alias("_name"),
-        )
+        .groupBy(f"{side}_station_id", F.col(f"{side}_station_name").alias("_name"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return pairs.groupBy("station_id").agg(
+    # ids are normalized once per distinct pair, not once per trip
+    return pairs.groupBy(normalize_station_id(f"{side}_station_id", strict).alias("station_id")).agg(
         F.sum("_n").alias("trip_count"), F.max("_name").alias("_trip_name")
     )
 
@@ -107,7 +105,7 @@ def station_flows(trips: DataFrame, strict: bool = False) -> DataFrame:
     """Inbound and outbound trips per normalized station in one scan and one
     aggregation: each trip contributes an arrival and a departure row."""
     leg = lambda side, inbound: F.struct(
-        normalize_station_id(f"{side}_station_id", strict).alias("station_id"),
+        F.col(f"{side}_station_id").alias("raw_id"),
         F.col(f"{side}_station_name").alias("name"),
         F.lit(inbound).alias("inbound"),
     )
@@ -115,11 +113,11 @@ def station_flows(trips: DataFrame, strict: bool = False) -> DataFrame:
     inbound = F.col("inbound")
     # hashed count per (station, name, direction), then names over that small set
     pairs = (
-        legs.where(F.col("station_id").isNotNull())
-        .groupBy("station_id", "name", "inbound")
+        legs.where(F.col("raw_id").isNotNull())
+        .groupBy("raw_id", "name", "inbound")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return pairs.groupBy("station_id").agg(
+    return pairs.groupBy(normalize_station_id("raw_id", strict).alias("station_id")).agg(
         F.coalesce(F.sum(F.when(inbound, F.col("_n"))), F.lit(0)).alias("inbound_trips"),
         F.coalesce(F.sum(F.when(~inbound, F.col("_n"))), F.lit(0)).alias("outbound_trips"),
         F.max(F.when(inbound, F.col("name"))).alias("_in_name"),

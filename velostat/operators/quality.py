@@ -117,52 +117,25 @@ def dq_duplicate_rides(trips: DataFrame) -> DataFrame:
     return repeated_ride_ids(trips).orderBy(F.col("duplicate_count").desc(), F.col("ride_id").asc())
 
 
-def _check_groups(trips: DataFrame, as_of) -> DataFrame:
-    """Every trip contributes its ride id with the six row-check flags, and its
-    two station ids.  Grouping on (kind, key) gives the row counts per ride id
-    (repeats) and per station id (references); map-side combine shrinks the
-    station keys to one row per station per task."""
-    preds = _row_predicates(as_of)
-    flags = [F.when(p, 1).otherwise(0).alias(n) for n, p in preds.items()]
-    zeros = [F.lit(0).alias(n) for n in preds]
-    entry = lambda kind, key, cols: F.struct(F.lit(kind).alias("kind"), F.col(key).alias("key"), *cols)
-    keyed = trips.select(
-        F.explode(
-            F.array(
-                entry("ride", "ride_id", flags),
-                entry("start", "start_station_id", zeros),
-                entry("end", "end_station_id", zeros),
-            )
-        ).alias("e")
-    ).select("e.*")
-    keyed = keyed.where((F.col("kind") == "ride") | F.col("key").isNotNull())
-    return keyed.groupBy("kind", "key").agg(
-        F.count(F.lit(1)).alias("rows"), *[F.sum(n).alias(n) for n in preds]
-    )
-
-
 def dq_summary(trips: DataFrame, stations: DataFrame, as_of=None) -> DataFrame:
-    """The nine logged checks: check_name, issue_count, details.  Every check
-    yields a row, zero included (see ``_check_groups`` for the plan)."""
-    names = list(_row_predicates(as_of))
-    groups = _check_groups(trips, as_of)
-    rides = groups.where(F.col("kind") == "ride").agg(
-        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names],
-        F.count_if(F.col("key").isNotNull() & (F.col("rows") > 1)).alias("duplicate_ride_ids"),
-    )
-    known = stations.select(F.col("station_id").alias("key")).where(F.col("key").isNotNull()).distinct()
-    missing = groups.where(F.col("kind") != "ride").join(known, "key", "left_anti")
+    """The nine logged checks: check_name, issue_count, details; zero counts included.
+
+    Three branches, each reading only its columns: the six row checks in one
+    aggregate that shuffles a single row per task; ride ids with a count; station
+    ids, one row per (side, id), against the dimension."""
+    repeated = repeated_ride_ids(trips).agg(F.count(F.lit(1)).alias("duplicate_ride_ids"))
+    missing = _missing_references(trips, stations)
     refs = missing.agg(
-        F.coalesce(F.sum(F.when(F.col("kind") == "start", F.col("rows"))), F.lit(0)).alias(
-            "missing_start_station_reference"
-        ),
-        F.coalesce(F.sum(F.when(F.col("kind") == "end", F.col("rows"))), F.lit(0)).alias(
-            "missing_end_station_reference"
-        ),
+        *[
+            F.coalesce(F.sum(F.when(F.col("side") == side, F.col("rows"))), F.lit(0)).alias(f"missing_{side}_station_reference")
+            for side in ("start", "end")
+        ]
     )
     details = F.create_map(*[x for name, text in DQ_CHECKS for x in (F.lit(name), F.lit(text))])
-    rows = _counts_as_rows(rides, names + ["duplicate_ride_ids"]).unionByName(
-        _counts_as_rows(refs, ["missing_start_station_reference", "missing_end_station_reference"])
+    rows = (
+        dq_row_checks(trips, as_of)
+        .unionByName(_counts_as_rows(repeated, repeated.columns))
+        .unionByName(_counts_as_rows(refs, refs.columns))
     )
     return rows.select(
         "check_name",

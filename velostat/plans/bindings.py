@@ -51,7 +51,7 @@ def raw_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return ev.select(
         F.when(eid % 97 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("R"), F.lpad(_number_text(ride_num), 8, "0")))
+        .otherwise(F.concat(F.lit("R"), _number_text(ride_num)))
         .alias("ride_id"),
         F.when(eid % 3 == 0, F.lit("classic_bike")).otherwise(F.lit("electric_bike")).alias("rideable_type"),
         _instant(F.col("ts")).alias("started_at"),

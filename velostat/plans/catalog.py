@@ -92,8 +92,7 @@ REGISTRY: dict[str, Query] = {
         lambda s, d: quality.dq_missing_end_station(b.raw_rides(s, d), b.stations_partial(s, d))
     ),
     "dq_duplicate_rides": _q(lambda s, d: quality.dq_duplicate_rides(b.raw_rides(s, d))),
-    "dq_ended_before_started": _q(lambda s, d: quality.ended_before_started(b.raw_rides(s, d))),
-    # the same check under its SURVEY D4 name
+    # SURVEY D4
     "ended_before_started": _q(lambda s, d: quality.ended_before_started(b.raw_rides(s, d))),
     "top_start_stations_report": _q(lambda s, d: analytics.top_start_stations(b.rides(s, d), b.stations(s, d), k=10)),
     "station_imbalance_report": _q(lambda s, d: analytics.station_imbalance(b.rides(s, d), b.stations(s, d), k=10)),

@@ -87,6 +87,26 @@ def write_trip_csvs(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+# Files of the row-number fixture.
+LEGACY_BUCKETS = 4
+
+
+def write_legacy_buckets(spark: SparkSession, sf_dir: str) -> str:
+    """Every event as a row of a legacy-layout file: one file per ``event_id %
+    LEGACY_BUCKETS``, in id order, the id in a text column."""
+    root = scratch_dir(spark, "legacy-csv")
+    rows = table(spark, sf_dir, "events").select(
+        (F.col("event_id") % LEGACY_BUCKETS).alias("bucket"),
+        "event_id",
+        F.date_format("ts", LEGACY_TIME).alias("starttime"),
+        F.date_format("ts", LEGACY_TIME).alias("stoptime"),
+        F.concat(F.lit("Event "), F.col("event_id").cast("string")).alias("start station name"),
+    )
+    rows = rows.repartition(LEGACY_BUCKETS, "bucket").sortWithinPartitions("bucket", "event_id").drop("event_id")
+    rows.write.option("header", "true").partitionBy("bucket").csv(root)
+    return root
+
+
 def modern_text_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_rides`` as an all-text frame in the modern layout (microseconds kept)."""
     rides = raw_rides(spark, sf_dir)

@@ -16,7 +16,6 @@ from velostat.plans import bindings as b
 from velostat.plans import text_fixtures as tf
 from velostat.session import scratch_dir
 from velostat.sources import csv_ingest, tables
-from velostat.streaming import incremental
 from velostat.schema import TRIP_COLUMNS
 
 # Day shifts that move the January events onto the 2024 DST changes.
@@ -140,7 +139,7 @@ def normalize_station_id_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _ev(spark, sf_dir)
     variants = ev.select(
         F.when(e == 1, (F.col("user_id") * 10).cast("string"))
-        .when(e == 2, F.concat(F.lit("JC"), F.lpad(F.col("user_id").cast("string"), 3, "0")))
+        .when(e == 2, F.concat(F.lit("JC"), F.col("user_id").cast("string")))
         .when(e == 3, F.concat(F.col("user_id").cast("string"), F.lit(".")))
         .otherwise(F.concat(F.col("user_id").cast("string"), F.lit(".00")))
         .alias("start_station_id")
@@ -164,36 +163,23 @@ def normalize_trips_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both CSV layouts written, listed, grouped by header and read back.  The
     generated ids of legacy rows depend on file names, so they are checked by
-    ``surrogate_ride_id`` and left out here."""
+    ``surrogate_ride_id`` and NULL here."""
     root = tf.write_trip_csvs(spark, sf_dir)
     trips = csv_ingest.ingest_csv(spark, root)
-    return trips.select(*[c for c in TRIP_COLUMNS if c != "ride_id"])
+    real = F.when(F.col("ride_id").rlike("^R[0-9]+$"), F.col("ride_id")).alias("ride_id")
+    return trips.select(real, *[c for c in TRIP_COLUMNS if c != "ride_id"])
 
 
 def surrogate_ride_id_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Legacy files get '<stem>_<row>' ids: unique, numbered 1..n in each file,
-    in file order (files were written sorted by start time, at most
-    ``LEGACY_FILE_ROWS`` rows each, so the per-file window is bounded)."""
-    root = tf.write_trip_csvs(spark, sf_dir)
-    legacy = csv_ingest.ingest_csv(spark, f"{root}/legacy")
+    """Every event in a legacy file of its bucket, in id order; the generated row
+    number of each, with the event id carried in a text column."""
+    root = tf.write_legacy_buckets(spark, sf_dir)
+    legacy = csv_ingest.ingest_csv(spark, root)
     seq = F.element_at(F.split(F.col("ride_id"), "_"), -1).cast("bigint")
-    stem = F.regexp_replace(F.col("ride_id"), r"_[0-9]{12}$", "")
-    rows = legacy.select(stem.alias("stem"), seq.alias("seq"), "ride_id", "started_at")
-    rows = rows.withColumn("_prev", F.lag("started_at").over(Window.partitionBy("stem").orderBy("seq")))
-    per_file = rows.groupBy("stem").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct("ride_id").alias("d"),
-        F.min("seq").alias("lo"),
-        F.max("seq").alias("hi"),
-        F.count_if(F.col("started_at") < F.col("_prev")).alias("late"),
-    )
-    return per_file.agg(
-        F.sum("n").cast("bigint").alias("id_rows"),
-        F.sum("d").cast("bigint").alias("distinct_ids"),
-        F.count_if((F.col("lo") != 1) | (F.col("hi") != F.col("n")) | (F.col("d") != F.col("n"))).alias(
-            "misnumbered_files"
-        ),
-        F.sum("late").cast("bigint").alias("out_of_order_rows"),
+    return legacy.select(
+        F.regexp_extract("start_station_name", "[0-9]+", 0).cast("bigint").alias("event_id"),
+        seq.alias("row_number"),
+        (F.length("ride_id") - F.length(F.regexp_replace("ride_id", r"_[0-9]{12}$", ""))).cast("bigint").alias("suffix_chars"),
     )
 
 
@@ -221,17 +207,6 @@ def stations_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.round("station_lng", 6).alias("station_lng"))
 
 
-def incremental_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Modern-layout files ingested by the streaming query (run to completion
-    with an available-now trigger); one row per surviving ride id."""
-    root = tf.write_trip_csvs(spark, sf_dir)
-    header = list(spark.read.option("header", "true").csv(f"{root}/modern").columns)
-    table_path = f"{root}/streamed_trips"
-    q = incremental.start_ingest(spark, f"{root}/modern", header, table_path)
-    q.awaitTermination()
-    return spark.read.parquet(table_path).select("ride_id")
-
-
 TEXT_QUERIES = {
     "clean_text": clean_text_q,
     "safe_cast": safe_cast_q,
@@ -247,5 +222,4 @@ TEXT_QUERIES = {
     "parquet_roundtrip": parquet_roundtrip_q,
     "curated_table_load": curated_table_q,
     "stations_table_load": stations_table_q,
-    "incremental_ingest": incremental_ingest_q,
 }

@@ -52,7 +52,11 @@ def build_silver(spark: SparkSession, normalized: DataFrame | None, root: str, r
     if not (reuse and silver_exists(spark, root)):
         if normalized is None:
             raise ValueError("no silver tables to reuse and no normalized trips given")
-        write_silver(normalized, derive_stations(normalized), root)
+        trips = normalized.select(*TRIP_COLUMNS)
+        _writer(trips).parquet(f"{root}/trips")
+        # stations come from the written table: the text behind ``normalized`` is read once
+        stations = derive_stations(spark.read.parquet(f"{root}/trips"))
+        _writer(stations.select(*STATION_COLUMNS)).parquet(f"{root}/stations")
     return read_silver(spark, root)
 
 
