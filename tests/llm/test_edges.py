@@ -84,7 +84,7 @@ def test_tokens_equal_the_library_on_whole_texts(spark, hard_docs):
 def test_special_token_strings_and_odd_spaces():
     from tokenizers import Tokenizer
 
-    texts = ["a<|endoftext|>b  c", "x y z\x0b\x1cq", "é ́e ΑΣ ΑΣ.", "it's 've I'LL", "\r\n\t", "İstanbul ǅ"]
+    texts = ["a<|endoftext|>b  c", "x y z\x0b\x1cq", "é ́e ΑΣ ΑΣ.", "it's 've I'LL", "\r\n\t", "İstanbul ǅ", "Ab... c., d,. e.\tf.", "A<|ENDOFTEXT|>. B", "x1. 2,3. é.", "a\u0301. b.\u0301 c,"]
     tok = Tokenizer.from_file(TOKENIZER)
     got = [np.frombuffer(x, "<u2").tolist() for x in tokens.Encoder(TOKENIZER).encode(texts)]
     assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
