@@ -239,7 +239,8 @@ def read_documents(shards: DataFrame) -> DataFrame:
                     [pa.array(x, type=f.type) for x, f in zip((doc_ids, starts, sizes, crcs), _DOCS)], schema=_DOCS
                 )
 
-    spread = shards.repartition("shard")
+    # a row is a whole file: a given number of partitions, so that few rows are not put into one task
+    spread = shards.repartition(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")), "shard")
     return spread.select("path", "start").mapInArrow(run, spark_schema(_DOCS))
 
 
