@@ -111,7 +111,8 @@ def fit(docs: DataFrame, labels: DataFrame, buckets=BUCKETS, dim=DIM, sample=SAM
     place = F.xxhash64("doc_id").alias("place")
     chosen = [known.where(F.col("label") == v).select("*", place).orderBy("place", "doc_id").limit(sample) for v in (0, 1)]
     rows = documents_of(docs).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("place", "label", "text")
-    examples = _sample_features(rows, buckets).coalesce(1)  # 2 * sample rows
+    # 2 * sample rows meet in one task; a shuffle, so that the scan before it stays parallel
+    examples = _sample_features(rows, buckets).repartition(1)
     schema = pa.schema([("weights", pa.binary())])
 
     def run(batches):

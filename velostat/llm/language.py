@@ -87,7 +87,7 @@ def fit(texts: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
             schema=schema,
         )
 
-    counts = {r[0]: np.frombuffer(r[1], "<i8") for r in rows.coalesce(1).mapInArrow(run, spark_schema(schema)).collect()}
+    counts = {r[0]: np.frombuffer(r[1], "<i8") for r in rows.repartition(1).mapInArrow(run, spark_schema(schema)).collect()}
     table = np.stack([counts.get(x, np.zeros(BUCKETS)) for x in languages]) + SMOOTHING
     return languages, np.log(table / table.sum(axis=1, keepdims=True))
 

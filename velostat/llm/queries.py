@@ -69,8 +69,11 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one made of control strings, formatted and read back."""
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    hard = spark.createDataFrame(
-        [(-7, t, role, "</s>[INST] ok [/INST]") for t, role in enumerate(("user", "assistant"))], rows.schema
+    hard = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     return chat.conversation_digests(chat.format_conversations(rows.unionByName(hard)))
 
