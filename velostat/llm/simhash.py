@@ -14,6 +14,11 @@ whose bits are verified.  Longer lists are cut into chunks, and every pair of
 chunks is compared in a task of its own, which returns a spanning set of the
 verified links only.
 
+Most lists hold one fingerprint.  So that the second pass over the index need not shuffle
+them, a bitmap of the longer lists, of fixed size, goes to the tasks that write it; entries
+it lets through by chance fall out in the join.  Once more lists repeat than the bitmap has
+bits, it lets most entries through and the pass shuffles the whole index, with the same result.
+
 Defined results: no words (NULL or empty text): fingerprint zero, linked like any
 other; rows with equal texts share the fingerprint; NULL doc_id never names a
 component unless all its documents lack one; an empty table gives an empty one.
@@ -29,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velostat.llm.common import LOWER, SPACE_SEPARATED, documents_of, find_words, signed, spark_schema, stage, text_blocks, text_key
+from velostat.llm.common import LOWER, SPACE_SEPARATED, documents_of, find_words, mix64, signed, spark_schema, stage, text_blocks, text_key
 from velostat.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -37,8 +42,11 @@ MAX_DISTANCE = 4
 SEED = 42
 # fingerprints compared by one task: two chunks
 CHUNK = 1_000
+BITMAP_BITS = 26  # 2**26 flags: 8 MB, whatever the number of lists
 
 _PRINTS = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64())])
+_ENTRIES = pa.schema([("at", pa.int32()), ("value", pa.int64()), ("fp", pa.int64())])
+_SLOTS = pa.schema([("slot", pa.int64())])
 
 
 def block_fingerprints(block, shingle: int) -> np.ndarray:
@@ -114,6 +122,50 @@ def shared_bytes(u: Column, v: Column) -> Column:
     return sum(same[1:], same[0])
 
 
+def _slots(at, value: np.ndarray) -> np.ndarray:
+    """Place in the bitmap of the list of ``value`` under the choice ``at`` of byte positions."""
+    spread = mix64(value.astype(np.uint64, copy=False) + np.uint64(0x9E3779B97F4A7C15) * (np.uint64(1) + np.asarray(at).astype(np.uint64)))
+    return (spread >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def _list_bitmap(lists: DataFrame) -> np.ndarray:
+    """Flags of ``lists`` (at, value), 64 to a word; at most 2**BITMAP_BITS / 64 words come to the driver."""
+
+    def run(batches):
+        for batch in batches:
+            at, value = (batch.column(c).to_numpy() for c in ("at", "value"))
+            yield pa.RecordBatch.from_arrays([pa.array(_slots(at, value.view(np.uint64)))], schema=_SLOTS)
+
+    slots = lists.select("at", "value").mapInArrow(run, spark_schema(_SLOTS))
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits"))
+    found = words.toArrow()
+    bitmap = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return bitmap
+
+
+def _flagged_entries(distinct: DataFrame, masks: list[int], bitmap: np.ndarray) -> DataFrame:
+    """Index entries (at, value, fp) whose list the bitmap flags."""
+    shared = distinct.sparkSession.sparkContext.broadcast(bitmap)
+    unsigned = [np.uint64(m & 0xFFFFFFFFFFFFFFFF) for m in masks]
+
+    def run(batches):
+        flags = shared.value
+        for batch in batches:
+            fp = batch.column("fp").to_numpy().view(np.uint64)
+            ats, values, fps = [], [], []
+            for at, mask in enumerate(unsigned):
+                value = fp & mask
+                slot = _slots(at, value)
+                ok = (flags[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+                ats.append(np.full(int(ok.sum()), at, dtype=np.int32))
+                values.append(signed(value[ok]))
+                fps.append(signed(fp[ok]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ats, values, fps)], schema=_ENTRIES)
+
+    return distinct.select("fp").mapInArrow(run, spark_schema(_ENTRIES))
+
+
 def _spanning_links(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Links (member, smallest member) of the connected parts of one list's chunks."""
     m = len(fps)
@@ -135,8 +187,10 @@ def fingerprint_links(distinct: DataFrame, distance: int = MAX_DISTANCE, chunk:
     if not 0 < distance < 8:
         raise ValueError("the index needs a distance of 1 to 7 bits")
     masks = [_byte_mask(c) for c in combinations(range(8), 8 - distance)]
-    # few bytes a row before the explode, many after it: keep all partitions
-    spread = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    # few bytes a row before the explode, many after it: keep all partitions (dealt by "fp" itself,
+    # Spark would take them for those of the aggregate below and merge them)
+    partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = distinct.repartition(partitions, F.xxhash64("fp"))
     listed = spread.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("at", "value"))
     lists = listed.groupBy("at", "value").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v"))
     lists = stage(lists.where("n > 1"), "simhash-lists")
@@ -145,7 +199,8 @@ def fingerprint_links(distinct: DataFrame, distance: int = MAX_DISTANCE, chunk:
     pairs = lists.where("n = 2").where(tallied).select("u", "v").distinct()
 
     many = lists.where("n > 2").select("at", "value", F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("parts"))
-    members = listed.join(many, ["at", "value"]).withColumn(
+    entries = _flagged_entries(spread, masks, _list_bitmap(many))
+    members = entries.join(many, ["at", "value"]).withColumn(
         "part", F.pmod(F.xxhash64("fp"), F.col("parts").cast("bigint")).cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
