@@ -21,12 +21,14 @@ one.  Without any labelled text there is no model: lang is NULL, confidence 0.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velostat.llm.common import LOWER, spark_schema, stage, text_blocks, text_key
+from velostat.llm.common import LOWER, spark_schema, stage, text_blocks, text_key, unstage
 
 BUCKETS = 1 << 14
 SAMPLE = 400
@@ -59,17 +61,20 @@ def _trigrams(block) -> tuple[np.ndarray, np.ndarray]:
 def fit(texts: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages and their log-probabilities (languages x BUCKETS) from (text, lang).
 
-    Of each language the ``sample`` texts with the smallest hash are used (of ties, any of
-    the equal ones); the ``MAX_LANGUAGES`` most frequent languages are kept."""
-    known = texts.where("lang is not null and text is not null").select("lang", "text")
-    top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    Of each language the ``sample`` different texts with the smallest hash are used; the
+    ``MAX_LANGUAGES`` languages with the most different texts are kept.  The choice is made
+    on a staged table of hashes, so that no text is moved but the chosen ones."""
+    known = texts.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("place"))
+    places = stage(known.select("lang", "place").distinct(), "language-places")
+    top = places.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
     languages = sorted(r[0] for r in top.collect())
     if not languages:
+        unstage(places)
         return [], np.zeros((0, BUCKETS))
-    parts = [known.where(F.col("lang") == x).orderBy(F.xxhash64("text")).limit(sample) for x in languages]
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.union(p)
+    chosen = [places.where(F.col("lang") == x).orderBy("place").limit(sample) for x in languages]
+    # MAX_LANGUAGES * sample rows at most
+    picked = F.broadcast(reduce(DataFrame.union, chosen))
+    rows = known.join(picked, ["lang", "place"]).dropDuplicates(["lang", "place"])
     schema = pa.schema([("lang", pa.string()), ("counts", pa.binary())])
 
     def run(batches):
@@ -87,7 +92,9 @@ def fit(texts: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
             schema=schema,
         )
 
-    counts = {r[0]: np.frombuffer(r[1], "<i8") for r in rows.repartition(1).mapInArrow(run, spark_schema(schema)).collect()}
+    found = rows.select("lang", "text").repartition(1).mapInArrow(run, spark_schema(schema)).collect()
+    unstage(places)
+    counts = {r[0]: np.frombuffer(r[1], "<i8") for r in found}
     table = np.stack([counts.get(x, np.zeros(BUCKETS)) for x in languages]) + SMOOTHING
     return languages, np.log(table / table.sum(axis=1, keepdims=True))
 
