@@ -1,9 +1,10 @@
 """Quality classifier: supervised subword embeddings.
 
 Features of a text are its words and the 3- and 4-byte n-grams of the words (with the
-blank after them), hashed into ``BUCKETS``.  Each bucket has a learned vector; a
-document is the mean of its features' vectors, a softmax over two outputs gives the
-score.  Vectors and outputs are trained by stochastic gradient descent in numpy, in
+blank after them), hashed into ``BUCKETS``.  Each run of ``AGAIN`` words that stands earlier
+in the text too is one more feature, the same whatever the words: the mean holds the share
+of repetition.  Each bucket has a learned vector; a document is the mean of its features'
+vectors, a softmax over two outputs gives the score.  Vectors and outputs are trained by stochastic gradient descent in numpy, in
 one task, on a bounded sample: of each label the ``SAMPLE`` rows with the smallest hash.
 
 The output is linear in the mean, so for scoring a bucket's vector and the
@@ -30,6 +31,7 @@ SAMPLE = 1_500
 EPOCHS = 6
 RATE = 0.2
 GRAMS = (3, 4)
+AGAIN = (3,)
 
 _SEED, _BASE = 17, 0x9E3779B97F4A7C15
 _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
@@ -52,6 +54,13 @@ def features(block, buckets: int):
         at = np.repeat(starts - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
         h = mix64(rolling.spans(prefix, at, at + n) + np.uint64(n))
         yield (h & pick).astype(np.int64), np.repeat(text, count)
+    for n in AGAIN:
+        first = np.flatnonzero(text[n - 1 :] == text[: max(len(text) - n + 1, 0)])
+        h = mix64(rolling.spans(prefix, starts[first], ends[first + n - 1]) + text[first].astype(np.uint64))
+        order = np.argsort(h, kind="stable")
+        seen = first[order[1:][h[order[1:]] == h[order[:-1]]]]
+        bucket = int(mix64(np.array([_SEED + n], dtype=np.uint64))[0]) & (buckets - 1)
+        yield np.full(len(seen), bucket, dtype=np.int64), text[seen]
 
 
 def _sample_features(rows: DataFrame, buckets: int) -> DataFrame:
