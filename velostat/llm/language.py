@@ -4,7 +4,11 @@ For each page: posterior(l) ~ prior(l | host) * P(suffix | l) * P(declared | l)
 
 - text: hashed byte trigrams under smoothed multinomials, one per language, fitted on a
   bounded sample of labelled texts (``SAMPLE`` per language).  Trigrams of a
-  text depend on each other, so n of them weigh as n / (1 + n / ``FULL``).
+  text depend on each other, so n of them weigh as n / (1 + n / ``FULL``), in the fit too.
+  A text of the sample is scored by the other texts alone.
+- unknown: one more hypothesis with the prior ``UNKNOWN``, whose texts follow the better of two
+  backgrounds: all buckets alike, or half that and half the mean of the languages.  Its
+  probability is missing from the languages', so the confidence in a text of no known language is low.
 - declared markup language and address suffix: how often each goes with each language,
   judged by the text alone, counted over the whole table and smoothed.
 - host prior: counts of the same votes by host, smoothed towards those of the
@@ -13,7 +17,8 @@ For each page: posterior(l) ~ prior(l | host) * P(suffix | l) * P(declared | l)
 All counts are grouped aggregations over one staged table of scores; tables by host, domain,
 suffix and declared code grow with their distinct values and are joined, not broadcast by hint.
 
-Defined results: NULL or empty text has no trigram and no vote: the other evidence decides;
+Defined results: NULL or empty text has no trigram and no vote: the other evidence decides; a
+text for which unknown is better has no vote;
 NULL host, suffix or declared code are values of their own; without any evidence the result is the
 most frequent language; rows with the same id are judged one by one; an empty table gives an empty
 one.  Without any labelled text there is no model: lang is NULL, confidence 0.
@@ -22,10 +27,11 @@ one.  Without any labelled text there is no model: lang is NULL, confidence 0.
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velostat.llm.common import LOWER, spark_schema, stage, text_blocks, text_key, unstage
@@ -36,6 +42,9 @@ FULL = 200
 SMOOTHING = 0.5
 PRIOR_WEIGHT = 5.0
 MIN_CONFIDENCE = 0.5
+UNKNOWN = 1e-3
+UNIT = 1 << 20
+FUSED_CELLS = 1 << 18  # rows x languages that are fused at once
 MAX_LANGUAGES = 64
 
 # bytes that trigrams are made of: letters (A-Z lower-cased) and everything beyond ASCII
@@ -58,8 +67,31 @@ def _trigrams(block) -> tuple[np.ndarray, np.ndarray]:
     return bucket[ok], owner[ok]
 
 
-def fit(texts: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Languages and their log-probabilities (languages x BUCKETS) from (text, lang).
+def _text_counts(block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, bucket, count) of the distinct trigram buckets of each text."""
+    bucket, owner = _trigrams(block)
+    both, count = np.unique(owner * BUCKETS + bucket, return_counts=True)
+    return both // BUCKETS, both % BUCKETS, count
+
+
+def _units(owner: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Weights of the counts of texts, in whole units: n trigrams weigh as n / (1 + n / FULL)."""
+    if not len(owner):
+        return np.zeros(0, dtype=np.int64)
+    total = np.bincount(owner, weights=count)
+    return np.rint(count / (1 + total[owner] / FULL) * UNIT).astype(np.int64)
+
+
+class Model(NamedTuple):
+    """Languages, their trigram weights (languages x BUCKETS), and the languages whose sample holds a text, by its hash."""
+
+    languages: list[str]
+    counts: np.ndarray
+    held: dict[int, list[int]]
+
+
+def fit(texts: DataFrame, sample: int = SAMPLE) -> Model | None:
+    """The model of (text, lang); None without any labelled text.
 
     Of each language the ``sample`` different texts with the smallest hash are used; the
     ``MAX_LANGUAGES`` languages with the most different texts are kept.  The choice is made
@@ -70,39 +102,48 @@ def fit(texts: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     languages = sorted(r[0] for r in top.collect())
     if not languages:
         unstage(places)
-        return [], np.zeros((0, BUCKETS))
+        return None
     chosen = [places.where(F.col("lang") == x).orderBy("place").limit(sample) for x in languages]
     # MAX_LANGUAGES * sample rows at most
-    picked = F.broadcast(reduce(DataFrame.union, chosen))
-    rows = known.join(picked, ["lang", "place"]).dropDuplicates(["lang", "place"])
-    schema = pa.schema([("lang", pa.string()), ("counts", pa.binary())])
+    picked = reduce(DataFrame.union, chosen).toArrow()
+    unstage(places)
+    known = known.join(F.broadcast(texts.sparkSession.createDataFrame(picked)), ["lang", "place"])
+    rows = known.dropDuplicates(["lang", "place"])
+    schema = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("units", pa.int64())])
 
     def run(batches):
-        totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            lang = batch.column("lang").to_pylist()
+            lang = batch.column("lang")
             for block in text_blocks(batch.column("text")):
-                bucket, owner = _trigrams(block)
-                for i in range(len(block.starts)):
-                    a, b = np.searchsorted(owner, [i, i + 1])
-                    got = np.bincount(bucket[a:b], minlength=BUCKETS)
-                    totals[lang[block.first + i]] = totals.get(lang[block.first + i], 0) + got
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(totals), type=pa.string()), pa.array([v.astype("<i8").tobytes() for v in totals.values()], type=pa.binary())],
-            schema=schema,
-        )
-
-    found = rows.select("lang", "text").repartition(1).mapInArrow(run, spark_schema(schema)).collect()
-    unstage(places)
-    counts = {r[0]: np.frombuffer(r[1], "<i8") for r in found}
-    table = np.stack([counts.get(x, np.zeros(BUCKETS)) for x in languages]) + SMOOTHING
-    return languages, np.log(table / table.sum(axis=1, keepdims=True))
-
-
-def text_scores(rows: DataFrame, languages: list[str], table: np.ndarray) -> DataFrame:
+                owner, bucket, count = _text_counts(block)
+                names = lang.take(pa.array(owner + block.first))
+                yield pa.RecordBatch.from_arrays([names, pa.array(bucket), pa.array(_units(owner, count))], schema=schema)
+
+    # languages x BUCKETS rows at most, of whole numbers: the order of the sums changes nothing
+    sums = rows.select("lang", "text").mapInArrow(run, spark_schema(schema)).groupBy("lang", "bucket").agg(F.sum("units").alias("units"))
+    found = sums.toArrow()
+    counts = np.zeros((len(languages), BUCKETS))
+    index = {x: i for i, x in enumerate(languages)}
+    at = np.array([index[x] for x in found["lang"].to_pylist()], dtype=np.int64)
+    counts[at, found["bucket"].to_numpy()] = found["units"].to_numpy() / UNIT
+    held: dict[int, list[int]] = {}
+    for lang, place in zip(picked["lang"].to_pylist(), picked["place"].to_pylist()):
+        held.setdefault(place, []).append(index[lang])
+    return Model(languages, counts, held)
+
+
+def _log_table(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Log-probabilities of some buckets: a row per language, then the pooled and the uniform background."""
+    p = (counts + SMOOTHING) / (totals[:, None] + SMOOTHING * BUCKETS)
+    even = np.full((1, p.shape[1]), 1 / BUCKETS)
+    return np.log(np.concatenate([p, (p.mean(axis=0, keepdims=True) + even) / 2, even]))
+
+
+def text_scores(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` (id, key, text, host, domain, suffix, declared) with the text replaced by its
-    log-likelihoods and its vote (the index of the best language, NULL without trigrams)."""
-    shared = rows.sparkSession.sparkContext.broadcast(table)
+    log-likelihoods (the unknown hypothesis last, with its prior odds) and its vote (the index of the
+    best language, NULL without trigrams or where unknown is better)."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
     kept = ("id", "key", "host", "domain", "suffix", "declared")
     schema = pa.schema(
         [("id", pa.int64()), ("key", pa.int64())]
@@ -111,85 +152,111 @@ def text_scores(rows: DataFrame, languages: list[str], table: np.ndarray) -> Dat
     )
 
     def run(batches):
-        logs = shared.value
+        _, counts, held = shared.value
+        size, totals = len(counts), counts.sum(axis=1)
+        logs = _log_table(counts, totals)
         for batch in batches:
+            places = batch.column("place").to_numpy()
             for block in text_blocks(batch.column("text")):
                 n = len(block.starts)
                 bucket, owner = _trigrams(block)
                 count = np.bincount(owner, minlength=n)
                 sums = np.stack([np.bincount(owner, weights=row[bucket], minlength=n) for row in logs], axis=1)
-                weight = (1 / (1 + count / FULL))[:, None]
+                for i, place in enumerate(places[block.first : block.last].tolist()):
+                    if place in held and count[i]:  # a text of the sample does not speak for itself
+                        a, b = np.searchsorted(owner, [i, i + 1])
+                        distinct, times = np.unique(bucket[a:b], return_counts=True)
+                        own = _units(np.zeros(len(times), dtype=np.int64), times) / UNIT
+                        rest, left = counts[:, distinct], totals.copy()
+                        rest[held[place]] -= own
+                        left[held[place]] -= own.sum()
+                        sums[i] = _log_table(rest, left) @ times
+                sums = sums / (1 + count / FULL)[:, None]
+                unknown = sums[:, size:].max(axis=1) + np.log(UNKNOWN / (1 - UNKNOWN))
+                sums = np.concatenate([sums[:, :size], unknown[:, None]], axis=1)
+                best = sums.argmax(axis=1).astype(np.int32)
                 rows_ = slice(block.first, block.last)
-                cuts = np.arange(n + 1, dtype=np.int32) * len(logs)
+                cuts = np.arange(n + 1, dtype=np.int32) * (size + 1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c)[rows_] for c in kept]
-                    + [
-                        pa.ListArray.from_arrays(cuts, pa.array((sums * weight).ravel())),
-                        pa.array(sums.argmax(axis=1).astype(np.int32), mask=count == 0),
-                    ],
+                    + [pa.ListArray.from_arrays(cuts, pa.array(sums.ravel())), pa.array(best, mask=(count == 0) | (best == size))],
                     schema=schema,
                 )
 
-    return rows.select(*kept, "text").mapInArrow(run, spark_schema(schema))
-
-
-def _votes(scores: DataFrame, by: str, size: int) -> DataFrame:
-    """(by, votes): the number of votes for each language, by value of a column."""
-    counts = [F.sum((F.col("vote") == i).cast("double")) for i in range(size)]
-    return scores.where("vote is not null").groupBy(F.col(by).alias(f"_{by}")).agg(F.array(*counts).alias(f"{by}_votes"))
-
-
-def fuse(scores: DataFrame, size: int) -> DataFrame:
-    """Adds ``posterior`` (array of probabilities) to the staged scores."""
-    none = F.array(*[F.lit(0.0)] * size)
-    s = scores
-    for by in ("host", "domain", "suffix", "declared"):
-        counts = _votes(scores, by, size)
-        s = s.join(counts, F.col(by).eqNullSafe(F.col(f"_{by}")), "left").drop(f"_{by}")
-        s = s.withColumn(f"{by}_votes", F.coalesce(f"{by}_votes", none))
-    whole = scores.agg(F.array(*[F.coalesce(F.sum((F.col("vote") == i).cast("double")), F.lit(0.0)) for i in range(size)]))
-    s = s.withColumn("all_votes", whole.scalar())
-
-    def at(name: str, i: int) -> Column:  # without the row's own vote
-        own = F.when(F.col("vote") == i, F.lit(1.0)).otherwise(F.lit(0.0))
-        return F.greatest(F.get(name, F.lit(i)) - own, F.lit(0.0))
-
-    def total(name: str) -> Column:
-        return sum((at(name, i) for i in range(1, size)), at(name, 0))
-
-    w = F.lit(PRIOR_WEIGHT)
-    share = [(at("all_votes", i) + 1.0) / (total("all_votes") + float(size)) for i in range(size)]
-    s = s.withColumn("_whole", F.array(*share))
-    s = s.withColumn("_domain", F.array(*[(at("domain_votes", i) + w * F.get("_whole", F.lit(i))) / (total("domain_votes") + w) for i in range(size)]))
-    s = s.withColumn("_prior", F.array(*[(at("host_votes", i) + w * F.get("_domain", F.lit(i))) / (total("host_votes") + w) for i in range(size)]))
+    return rows.select(*kept, "text", F.xxhash64("text").alias("place")).mapInArrow(run, spark_schema(schema))
+
+
+def _votes(scores: DataFrame, by: str) -> DataFrame:
+    """(by, votes): the languages voted for and how often, by value of a column."""
+    counts = scores.where("vote is not null").groupBy(F.col(by).alias(f"_{by}"), "vote").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return counts.groupBy(f"_{by}").agg(F.collect_list(F.struct("vote", "n")).alias(f"{by}_votes"))
+
+
+def _dense(column: pa.Array, size: int) -> np.ndarray:
+    """Lists of (vote, n) as a matrix (rows x languages)."""
+    out = np.zeros((len(column), size))
+    flat = column.flatten()
+    row = np.repeat(np.arange(len(column)), column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    out[row, flat.field("vote").to_numpy()] = flat.field("n").to_numpy()
+    return out
+
+
+def posteriors(likelihood: np.ndarray, vote: np.ndarray, whole: np.ndarray, votes: dict[str, np.ndarray]) -> np.ndarray:
+    """Probabilities of each language and, last, of unknown; ``vote`` is -1 for none."""
+    size = len(whole)
+    own = vote[:, None] == np.arange(size)
+    w = PRIOR_WEIGHT
+    counts = {by: np.maximum(m - own, 0) for by, m in votes.items()}  # without the row's own vote
+    every = np.maximum(whole[None, :] - own, 0)
+    share = (every + 1) / (every.sum(axis=1, keepdims=True) + size)
+
+    def smoothed(m: np.ndarray, towards: np.ndarray) -> np.ndarray:
+        return (m + w * towards) / (m.sum(axis=1, keepdims=True) + w)
+
+    prior = smoothed(counts["host"], smoothed(counts["domain"], share))
+    # P(value | language) up to a common factor: P(language | value) / P(language), 1 for an unseen value
+    seen = sum(np.log(smoothed(counts[by], share) / share) for by in ("suffix", "declared"))
+    e = np.concatenate([np.log(prior) + likelihood[:, :size] + seen, likelihood[:, size:]], axis=1)
+    p = np.exp(e - e.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
+
+
+def fuse(scores: DataFrame, languages: list[str]) -> DataFrame:
+    """(id, key, host, lang, confidence, text_lang) from the staged scores."""
+    size, names = len(languages), pa.array(languages, type=pa.string())
+    s, evidence = scores, ("host", "domain", "suffix", "declared")
+    for by in evidence:
+        s = s.join(_votes(scores, by), F.col(by).eqNullSafe(F.col(f"_{by}")), "left").drop(f"_{by}")
+    whole = np.zeros(size)
+    for vote, n in scores.where("vote is not null").groupBy("vote").count().collect():  # a row per language
+        whole[vote] = n
+    schema = pa.schema(
+        [("id", pa.int64()), ("key", pa.int64()), ("host", pa.string()), ("lang", pa.string()), ("confidence", pa.float64()), ("text_lang", pa.string())]
+    )
+    step = max(1, FUSED_CELLS // size)
 
-    def seen(name: str, i: int) -> Column:
-        """P(value | language) up to a common factor: P(language | value) / P(language), 1 for an unseen value."""
-        whole = F.get("_whole", F.lit(i))
-        return F.log((at(name, i) + w * whole) / (total(name) + w) / whole)
+    def run(batches):
+        for whole_batch in batches:
+            for a in range(0, whole_batch.num_rows, step):
+                batch = whole_batch.slice(a, step)
+                likelihood = batch.column("likelihood").flatten().to_numpy().reshape(-1, size + 1)
+                vote = batch.column("vote")
+                votes = {by: _dense(batch.column(f"{by}_votes"), size) for by in evidence}
+                p = posteriors(likelihood, vote.fill_null(-1).to_numpy(), whole, votes)[:, :size]
+                columns = [batch.column(c) for c in ("id", "key", "host")]
+                columns += [names.take(pa.array(p.argmax(axis=1))), pa.array(p.max(axis=1)), names.take(vote)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    evidence = [
-        F.log(F.get("_prior", F.lit(i))) + F.get("likelihood", F.lit(i)) + seen("suffix_votes", i) + seen("declared_votes", i)
-        for i in range(size)
-    ]
-    s = s.withColumn("_e", F.array(*evidence))
-    s = s.withColumn("_p", F.transform("_e", lambda x: F.exp(x - F.array_max("_e"))))
-    return s.withColumn("posterior", F.transform("_p", lambda x: x / F.aggregate("_p", F.lit(0.0), lambda a, y: a + y)))
+    return s.select("id", "key", "host", "likelihood", "vote", *[f"{by}_votes" for by in evidence]).mapInArrow(run, spark_schema(schema))
 
 
 def identify(rows: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(id, key, host, lang, confidence, text_lang) for rows (id, key, text, host, domain, suffix, declared)."""
-    languages, table = fit(labelled, sample)
-    if not languages:
+    model = fit(labelled, sample)
+    if model is None:
         empty = F.lit(None).cast("string")
         return rows.select("id", "key", "host", empty.alias("lang"), F.lit(0.0).alias("confidence"), empty.alias("text_lang"))
-    names = F.array(*[F.lit(x) for x in languages])
-    scores = stage(text_scores(rows, languages, table), "language-scores")
-    fused = fuse(scores, len(languages))
-    best = (F.array_position("posterior", F.array_max("posterior")) - 1).cast("int")
-    return fused.select(
-        "id", "key", "host", F.get(names, best).alias("lang"), F.array_max("posterior").alias("confidence"), F.get(names, F.col("vote")).alias("text_lang")
-    )
+    return fuse(stage(text_scores(rows, model), "language-scores"), model.languages)
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
@@ -228,10 +295,13 @@ def document_rows(docs: DataFrame) -> DataFrame:
 
 def drop_unidentified(docs: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """The rows of ``docs`` whose language is known: a text without any letter goes, and one whose
-    best language is less likely than ``min_confidence``."""
-    found = identify(document_rows(docs), docs.select("text", F.lower(F.col("lang").cast("string")).alias("lang")))
-    # staged, since a filter on the confidence would be pushed below and repeat its whole expression
-    found = stage(found, "language-found")
+    best language is less likely than ``min_confidence``.
+
+    A document's own label is no evidence for keeping it.  Labels of one language (pt, pt-BR) count as one, so
+    that a text does not go because it could have either."""
+    label = F.lower(F.regexp_extract(F.col("lang").cast("string"), r"^\s*([^\s_-]*)", 1))
+    labelled = docs.select(F.col("text").cast("string").alias("text"), F.nullif(label, F.lit("")).alias("lang"))
+    found = identify(document_rows(docs).withColumn("declared", F.lit(None).cast("string")), labelled)
     bad = found.where(F.col("confidence") < min_confidence).select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.where(text.rlike(r"\p{L}"))
