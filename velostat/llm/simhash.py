@@ -223,16 +223,22 @@ def fingerprint_links(distinct: DataFrame, distance: int = MAX_DISTANCE, chunk:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
-    """(doc_id, key, fp, component_id) for every row of ``docs``."""
+    """(doc_id, key, fp, root, component_id) for every row of ``docs``: ``root`` is the component's
+    smallest fingerprint, ``component_id`` its smallest doc_id.  Of components that share this id
+    (their rows do) the one with the smallest root is named by it, the others by a hash of their root."""
     prints = stage(fingerprints(docs, shingle), "simhash-prints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected_components(fingerprint_links(distinct.select("fp"), distance))
     placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = placed.join(named, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "key", "fp", "component_id")
+    named = placed.groupBy("root").agg(F.min("least").alias("least"))
+    first = named.where("least is not null").groupBy("least").agg(F.min("root").alias("root"))
+    first = first.select("root", F.col("least").alias("_named"))
+    name = F.when(F.col("least").isNotNull(), F.coalesce("_named", F.xxhash64("root")))
+    named = named.join(first, "root", "left").select("root", name.alias("component_id"))
+    classes = placed.select("fp", "root").join(named, "root")
+    return prints.join(classes, "fp").select("doc_id", "key", "fp", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
@@ -241,9 +247,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance
     equal in both, any one."""
     found = near_duplicates(docs, shingle, distance)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    best = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone")).agg(
-        F.min(order).alias("best")
-    )
+    best = found.groupBy("root").agg(F.min(order).alias("best"))
     best = best.select(F.col("best.doc_id").alias("_id"), F.col("best.key").alias("_key")).distinct()
     columns = docs.columns
     rows = docs.select(
