@@ -7,9 +7,8 @@ documents.  A document's score is the mean of log(target / raw) over its n-grams
 so that length does not matter, and every document is held against the same
 threshold.
 
-Corpus counts cover all documents; the trusted ids are bounded by ``trusted_rows``
-(a fitted sample), which makes them safe to broadcast.  The weights are one array
-of ``buckets`` numbers, whatever the size of the corpus.
+The raw counts cover all documents, the target all trusted ones.  The weights are one
+array of ``buckets`` numbers, whatever the size of the corpus.
 
 Defined results: NULL text counts as empty, no words: base_failed.  Rows with the
 same doc_id are scored one by one; an empty table gives an empty one.  With no
@@ -24,7 +23,6 @@ from pyspark.sql import functions as F
 from velostat.llm.common import documents_of, trimmed, words
 
 BUCKETS = 1 << 17
-TRUSTED_ROWS = 10_000
 SMOOTHING = 1.0
 THRESHOLD = -0.25
 MIN_WORDS = 20
@@ -46,7 +44,7 @@ def _ngrams() -> Column:
 
 def ngram_weights(docs: DataFrame, trusted: DataFrame, buckets: int, smoothing: float) -> DataFrame:
     """One row with ``weights``: log(target / raw) of each bucket, as an array."""
-    flagged = docs.join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("_t"))), "doc_id", "left")
+    flagged = docs.join(trusted.select("doc_id", F.lit(1).alias("_t")), "doc_id", "left")
     grams = _with_word_hashes(flagged).select(F.coalesce("_t", F.lit(0)).alias("_t"), F.explode(_ngrams()).alias("_g"))
     counts = grams.groupBy(F.pmod("_g", F.lit(buckets)).alias("_b")).agg(
         F.count(F.lit(1)).alias("raw"), F.sum("_t").alias("target")
@@ -82,17 +80,14 @@ def score_quality(
     docs: DataFrame,
     trusted: DataFrame,
     buckets: int = BUCKETS,
-    trusted_rows: int = TRUSTED_ROWS,
     smoothing: float = SMOOTHING,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """doc_id, the counts, base_failed, score and kept for each row of ``docs``.
 
-    ``trusted`` has the doc_ids of good documents; those with the smallest hashes,
-    ``trusted_rows`` at most, make up the target."""
+    ``trusted`` has the doc_ids of good documents, which make up the target."""
     docs = documents_of(docs)
     ids = trusted.select(F.col("doc_id").cast("bigint")).where("doc_id is not null").distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows)
     weights = ngram_weights(docs, ids, buckets, smoothing).scalar()
 
     # one value for all rows; used once, so the optimizer puts it in place and no row carries it
