@@ -41,3 +41,27 @@ def test_labels_of_one_language_count_as_one(spark):
     rng = np.random.default_rng(10)
     clean = [(t, ("en", "en-US", "EN_gb")[k % 3]) for k, (t, _) in enumerate(clean_texts(["en"], rng, 90))]
     assert language.drop_unidentified(documents(spark, clean, [])).count() == len(clean)
+
+
+def test_every_labelled_language_has_a_model(spark):
+    """More languages than the 64 that were kept once; each is found again, the rarest too."""
+    rng = np.random.default_rng(11)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    rows = []
+    for k in range(70):
+        words = ["".join(rng.choice(letters, 6)) for _ in range(12)]
+        rows += [(" ".join(rng.choice(words, 30)), f"x{k:02d}") for _ in range(2 if k == 69 else 4)]
+    texts = spark.createDataFrame([(i, i, t, lang) for i, (t, lang) in enumerate(rows)], "id bigint, key bigint, text string, lang string")
+    none = [f"cast(null as string) as {c}" for c in ("host", "domain", "suffix", "declared")]
+    found = language.identify(texts.selectExpr("id", "key", "text", *none), texts.select("text", "lang")).collect()
+    assert [(r.id, r.lang) for r in sorted(found, key=lambda r: r.id)] == [(i, lang) for i, (_, lang) in enumerate(rows)]
+    assert min(r.confidence for r in found) > 0.9
+
+
+def test_sample_takes_the_smallest_hashes(spark):
+    texts = spark.createDataFrame([(f"text number {k}", "en" if k % 3 else "de") for k in range(900)], "text string, lang string")
+    model = language.fit(texts, 20)
+    hashes = texts.selectExpr("lang", "xxhash64(text) as place").distinct().collect()
+    for i, lang in enumerate(model.languages):
+        want = sorted(r.place for r in hashes if r.lang == lang)[:20]
+        assert sorted(p for p, at in model.held.items() if i in at) == want

@@ -26,12 +26,11 @@ one.  Without any labelled text there is no model: lang is NULL, confidence 0.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from velostat.llm.common import LOWER, spark_schema, stage, text_blocks, text_key, unstage
@@ -45,7 +44,6 @@ MIN_CONFIDENCE = 0.5
 UNKNOWN = 1e-3
 UNIT = 1 << 20
 FUSED_CELLS = 1 << 18  # rows x languages that are fused at once
-MAX_LANGUAGES = 64
 
 # bytes that trigrams are made of: letters (A-Z lower-cased) and everything beyond ASCII
 _LETTER = np.zeros(256, dtype=bool)
@@ -93,20 +91,22 @@ class Model(NamedTuple):
 def fit(texts: DataFrame, sample: int = SAMPLE) -> Model | None:
     """The model of (text, lang); None without any labelled text.
 
-    Of each language the ``sample`` different texts with the smallest hash are used; the
-    ``MAX_LANGUAGES`` languages with the most different texts are kept.  The choice is made
-    on a staged table of hashes, so that no text is moved but the chosen ones."""
+    Every language counts; of each the ``sample`` different texts with the smallest hash are used.
+    The choice is made on a staged table of hashes, so that no text is moved but the chosen ones.
+    The model holds BUCKETS numbers and ``sample`` hashes a language."""
     known = texts.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("place"))
     places = stage(known.select("lang", "place").distinct(), "language-places")
-    top = places.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    languages = sorted(r[0] for r in top.collect())
+    sizes = places.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # few hashes of a large language are ranked: those below a bound that 4 * sample are expected under
+    share = F.col("place") / F.lit(2.0**64) + 0.5
+    near = places.join(sizes, "lang").where(share * F.col("n") <= 4.0 * sample)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    # languages * sample rows at most
+    picked = near.select("lang", "place", rank.alias("rank")).where(F.col("rank") <= sample).select("lang", "place").toArrow()
+    languages = sorted(set(picked["lang"].to_pylist()))
+    unstage(places)
     if not languages:
-        unstage(places)
         return None
-    chosen = [places.where(F.col("lang") == x).orderBy("place").limit(sample) for x in languages]
-    # MAX_LANGUAGES * sample rows at most
-    picked = reduce(DataFrame.union, chosen).toArrow()
-    unstage(places)
     known = known.join(F.broadcast(texts.sparkSession.createDataFrame(picked)), ["lang", "place"])
     rows = known.dropDuplicates(["lang", "place"])
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("units", pa.int64())])
