@@ -65,3 +65,9 @@ def test_sample_takes_the_smallest_hashes(spark):
     for i, lang in enumerate(model.languages):
         want = sorted(r.place for r in hashes if r.lang == lang)[:20]
         assert sorted(p for p, at in model.held.items() if i in at) == want
+
+
+def test_unlabelled_table_stays(spark):
+    rng = np.random.default_rng(12)
+    docs = documents(spark, [(t, None) for t, _ in clean_texts(["en"], rng, 20)], [("12 %% 34", None)])
+    assert {r.doc_id for r in language.drop_unidentified(docs).collect()} == set(range(20))

@@ -298,11 +298,13 @@ def drop_unidentified(docs: DataFrame, min_confidence: float = MIN_CONFIDENCE) -
     best language is less likely than ``min_confidence``.
 
     A document's own label is no evidence for keeping it.  Labels of one language (pt, pt-BR) count as one, so
-    that a text does not go because it could have either."""
+    that a text does not go because it could have either.  Without any label there is no model and
+    every text with a letter stays."""
     label = F.lower(F.regexp_extract(F.col("lang").cast("string"), r"^\s*([^\s_-]*)", 1))
     labelled = docs.select(F.col("text").cast("string").alias("text"), F.nullif(label, F.lit("")).alias("lang"))
     found = identify(document_rows(docs).withColumn("declared", F.lit(None).cast("string")), labelled)
-    bad = found.where(F.col("confidence") < min_confidence).select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
+    # lang is NULL without any model: no decision
+    bad = found.where(F.col("lang").isNotNull() & (F.col("confidence") < min_confidence)).select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.where(text.rlike(r"\p{L}"))
     rows = rows.select(F.struct("*").alias("_row"), text_key(F.col("doc_id").cast("bigint"), text).alias("_k"))
