@@ -9,8 +9,8 @@ Links: two fingerprints that differ in ``distance`` bits at most agree in
 fingerprint under each choice of that many byte positions with their bytes, so a pair
 that reaches the guaranteed count stands in one list at least.  (Lists of single
 bytes would hold 1/256 of all fingerprints each, and counting their pairs would
-grow with the square of the corpus.)  A list of two is one pair, whose shared bytes are tallied and
-whose bits are verified.  Longer lists are cut into chunks, and every pair of
+grow with the square of the corpus.  So no shared bytes are tallied: every pair of a list has
+the guaranteed count.)  A list of two is one pair, whose bits are verified.  Longer lists are cut into chunks, and every pair of
 chunks is compared in a task of its own, which returns a spanning set of the
 verified links only.
 
@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velostat.llm.common import LOWER, SPACE_SEPARATED, documents_of, find_words, mix64, signed, spark_schema, stage, text_blocks, text_key
@@ -115,13 +115,6 @@ def _byte_mask(positions) -> int:
     return mask - (1 << 64) if mask >= 1 << 63 else mask
 
 
-def shared_bytes(u: Column, v: Column) -> Column:
-    """Number of positions in which two fingerprints have the same byte."""
-    x = u.bitwiseXOR(v)
-    same = [F.when(x.bitwiseAND(F.lit(_byte_mask([p]))) == 0, 1).otherwise(0) for p in range(8)]
-    return sum(same[1:], same[0])
-
-
 def _slots(at, value: np.ndarray) -> np.ndarray:
     """Place in the bitmap of the list of ``value`` under the choice ``at`` of byte positions."""
     spread = mix64(value.astype(np.uint64, copy=False) + np.uint64(0x9E3779B97F4A7C15) * (np.uint64(1) + np.asarray(at).astype(np.uint64)))
@@ -195,8 +188,7 @@ def fingerprint_links(distinct: DataFrame, distance: int = MAX_DISTANCE, chunk:
     lists = listed.groupBy("at", "value").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v"))
     lists = stage(lists.where("n > 1"), "simhash-lists")
     u, v = F.col("u"), F.col("v")
-    tallied = (shared_bytes(u, v) >= 8 - distance) & (F.bit_count(u.bitwiseXOR(v)) <= distance)
-    pairs = lists.where("n = 2").where(tallied).select("u", "v").distinct()
+    pairs = lists.where("n = 2").where(F.bit_count(u.bitwiseXOR(v)) <= distance).select("u", "v").distinct()
 
     many = lists.where("n > 2").select("at", "value", F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("parts"))
     entries = _flagged_entries(spread, masks, _list_bitmap(many))
