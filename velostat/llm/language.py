@@ -99,7 +99,8 @@ def fit(texts: DataFrame, sample: int = SAMPLE) -> Model | None:
     sizes = places.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     # few hashes of a large language are ranked: those below a bound that 4 * sample are expected under
     share = F.col("place") / F.lit(2.0**64) + 0.5
-    near = places.join(sizes, "lang").where(share * F.col("n") <= 4.0 * sample)
+    # (one row a language is broadcast, as the model is, so that the hashes are not dealt by language for the join)
+    near = places.join(F.broadcast(sizes), "lang").where(share * F.col("n") <= 4.0 * sample)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
     # languages * sample rows at most
     picked = near.select("lang", "place", rank.alias("rank")).where(F.col("rank") <= sample).select("lang", "place").toArrow()
