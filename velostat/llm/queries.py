@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velostat.llm import chat, classifier, decontaminate, language, mixing, quality_rules, simhash, substrings, suffixes, tokens
+from velostat.llm import (
+    chat,
+    classifier,
+    decontaminate,
+    language,
+    lines,
+    merkle,
+    mixing,
+    phrases,
+    quality_rules,
+    simhash,
+    substrings,
+    suffixes,
+    tokens,
+)
 from velostat.llm.common import read_table
 from velostat.session import configure_session
 
@@ -78,6 +92,22 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(rows.unionByName(hard)))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten documents or more share."""
+    return lines.dedup_lines(read_table(spark, sf_dir, "documents"), with_text=False)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, tree roots and proof of every document; a seventh is checked with another n_chars."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle.merkle_manifest(read_table(spark, sf_dir, "documents"), tampered)
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two and three words of every language."""
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def _configured(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure_session(spark)
@@ -87,4 +117,19 @@ def _configured(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-LLM_QUERIES = {f.__name__: _configured(f) for f in (op1_token_output, op2_suffix_dedup, op3_quality_classifier, op4_quality_rules, op5_language_id, op6_mixing, op7_decontamination, op8_simhash, op9_substring_dedup, op10_chat_formatting)}
+_ALL = (
+    op1_token_output,
+    op2_suffix_dedup,
+    op3_quality_classifier,
+    op4_quality_rules,
+    op5_language_id,
+    op6_mixing,
+    op7_decontamination,
+    op8_simhash,
+    op9_substring_dedup,
+    op10_chat_formatting,
+    op11_line_dedup,
+    op12_merkle_manifest,
+    op13_phrase_mining,
+)
+LLM_QUERIES = {f.__name__: _configured(f) for f in _ALL}
