@@ -14,10 +14,13 @@ again.  The target folder must be one that all executors reach (pyarrow's
 file systems: file, hdfs, s3, gs).
 
 Encoding: the normalizer and the pre-tokenizer never join text across a space or a
-newline, so a text's ids are those of its space-separated pieces in order.  Pieces
-are encoded by the library once and remembered (up to ``REMEMBERED``) for all tasks of a
-worker process.  Fewer differ once ASCII texts are lower-cased, as the normalizer does
-anyway, and closing stops and commas are pieces of their own, as the pre-tokenizer has them.
+newline, so a text's ids are those of its space-separated pieces in order.  The
+different pieces of a block of texts are encoded by the library once and remembered (up to
+``REMEMBERED``) for all tasks of a worker process; the block's ids are gathered from that memory
+at once.  Fewer pieces differ once ASCII texts are lower-cased, as the normalizer does anyway, and
+stops and commas that close a word are pieces of their own, as the pre-tokenizer has them.  That is
+done after ASCII letters only: after others, the normalizer may still move a mark.  A very long
+text is encoded in stretches.
 
 Defined results: NULL text counts as empty: its ids are the end id alone; NULL doc_id
 comes first; rows with the same doc_id are documents of their own, ordered by a
@@ -32,6 +35,7 @@ import sys
 import types
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +44,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from velostat.llm.common import documents_of, spark_schema, stage
+from velostat.llm.common import BLOCK_BYTES, LOWER, TextBlock, byte_class, documents_of, find_words, spark_schema, stage, text_blocks
+from velostat.llm.phrases import encode_words
 from velostat.session import scratch_dir
 
 LENGTH = 2048
 BATCH = 256
 END_ID = 2
 REMEMBERED = 800_000
-# a full stop or comma after a letter, before white space or the end: always a token of its own
-_CLOSING = re.compile(r"(?<=[^\W\d_])([.,])(?=\s|$)")
+_SPACE_OR_NEWLINE = byte_class(b" \n")
+_IS_CLOSING, _IS_LETTER = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_IS_CLOSING[list(b".,")] = True
+_IS_LETTER[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+_GAP = re.compile(rb"[ \n]")
 
 _SHARDS = pa.schema(
     [("shard", pa.int32()), ("path", pa.string()), ("n_tokens", pa.int64()), ("n_sequences", pa.int64()), ("n_docs", pa.int64())]
@@ -73,11 +81,16 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
         ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
         # what a tokenizer does not do itself is not done for it
         self.lowers = ids("Ab") == ids("ab")
         self.splits = ids("ab.") == ids("ab") + ids(".") and ids("ab .") == ids("ab.")
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known pieces by number; number k has the ids from ``at[k]`` to ``at[k + 1]`` in ``ids``."""
+        self.known: dict[str, int] = {}
+        self.ids, self.at = np.zeros(1 << 16, dtype=self.dtype), np.zeros(1 << 16, dtype=np.int64)
 
     @classmethod
     def of_worker(cls, path: str) -> Encoder:
@@ -87,23 +100,80 @@ class Encoder:
             state[path] = cls(path)
         return state[path]
 
-    def _pieces(self, text: str) -> list[str]:
-        if self.lowers and text.isascii() and "<|" not in text:  # not in strings of special tokens
-            text = text.lower()
+    def _learn(self, pieces: list[str]) -> None:
+        n = len(self.known)
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        lists = [np.array(e.ids, dtype=self.dtype) for e in found]
+        ends = self.at[n] + np.cumsum([len(x) for x in lists])
+        while len(self.at) < n + len(pieces) + 1:
+            self.at = np.append(self.at, np.zeros_like(self.at))
+        while len(self.ids) < ends[-1]:
+            self.ids = np.append(self.ids, np.zeros_like(self.ids))
+        self.ids[self.at[n] : ends[-1]] = np.concatenate(lists)
+        self.at[n + 1 : n + 1 + len(pieces)] = ends
+        self.known.update(zip(pieces, range(n, n + len(pieces))))
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        new = [p for p in pieces if p not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self._forget()
+            new = pieces
+        if new:
+            self._learn(new)
+        return np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+
+    def encode_block(self, block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of a block, number of ids of each)."""
+        data = block.data
+        if self.lowers:
+            plain = np.logical_not(np.logical_or.reduceat(data >= 128, block.starts))
+            raw = data.tobytes()
+            if b"<|" in raw:  # not in strings of special tokens
+                plain &= np.array([b"<|" not in raw[a:b] for a, b in zip(block.starts, block.ends)])
+            if plain.all():
+                data = LOWER[data]
+            elif plain.any():
+                data = np.where(np.repeat(plain, block.ends - block.starts + 1), LOWER[data], data)
+        starts, ends = find_words(data, _SPACE_OR_NEWLINE)
         if self.splits:
-            text = _CLOSING.sub(r" \1", text)
-        return text.replace("\n", " ").split(" ")
+            # a full stop or comma after an ASCII letter, before a separator: a token of its own
+            closing = np.flatnonzero(_IS_CLOSING[data[ends - 1]] & (ends - starts > 1))
+            closing = closing[_IS_LETTER[data[ends[closing] - 2]]]
+            cut = ends[closing] - 1
+            starts, ends = np.sort(np.append(starts, cut)), np.sort(np.append(ends, cut))
+        if not len(starts):
+            return np.zeros(0, dtype=self.dtype), np.zeros(len(block.starts), dtype=np.int64)
+        codes, pieces = encode_words(data, starts, ends)
+        number = self._numbers(pieces.to_pylist())[codes]
+        size = self.at[number + 1] - self.at[number]
+        before = np.cumsum(size) - size
+        ids = self.ids[np.repeat(self.at[number] - before, size) + np.arange(before[-1] + size[-1])]
+        total = np.append(before, len(ids))
+        return ids, np.diff(total[np.append(np.searchsorted(starts, block.starts), len(starts))])
+
+    def encode_column(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text; a long text is encoded in stretches."""
+        for block in text_blocks(texts):
+            if len(block.starts) > 1 or len(block.data) <= 2 * BLOCK_BYTES:
+                ids, sizes = self.encode_block(block)
+                yield from np.split(ids, np.cumsum(sizes)[:-1])
+            else:
+                yield np.concatenate([self.encode_block(part)[0] for part in _cut(block)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self._pieces(t) for t in texts]
-        new = list(set().union(*split) - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(set().union(*split))
-        for piece, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[piece] = np.array(e.ids, dtype=self.dtype).tobytes()
-        known = self.known
-        return [b"".join([known[p] for p in pieces]) for pieces in split]
+        return [ids.tobytes() for ids in self.encode_column(pa.array(texts, type=pa.string()))]
+
+
+def _cut(block: TextBlock) -> Iterator[TextBlock]:
+    """A long text in stretches that end where words do."""
+    raw = block.data.tobytes()
+    begin, size = 0, len(raw) - 1
+    while begin < size:
+        gap = _GAP.search(raw, begin + BLOCK_BYTES)
+        end = min(gap.start() if gap else size, size)
+        part = block.data[begin:end]
+        yield TextBlock(0, 1, np.append(part, np.uint8(10)), np.zeros(1, np.int64), np.array([len(part)]))
+        begin = end + 1
 
 
 def file_schema(dtype: np.dtype, length: int) -> pa.Schema:
@@ -180,10 +250,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                 system.create_dir(base, recursive=True)
                 sink = system.open_output_stream(part)
                 writer = SequenceWriter(sink, encoder.dtype, length, BATCH)
-            ids, text = batch.column("doc_id").to_pylist(), batch.column("text")
-            for a in range(0, batch.num_rows, 256):  # a few texts at a time
-                for doc_id, raw in zip(ids[a : a + 256], encoder.encode(text[a : a + 256].to_pylist())):
-                    writer.add(doc_id, np.concatenate([np.frombuffer(raw, dtype=encoder.dtype), end]))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode_column(batch.column("text"))):
+                writer.add(doc_id, np.append(ids, end))
         if writer is not None:
             writer.close()
             sink.close()
