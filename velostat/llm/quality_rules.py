@@ -8,7 +8,9 @@ so that length does not matter, and every document is held against the same
 threshold.
 
 The raw counts cover all documents, the target all trusted ones.  The weights are one
-array of ``buckets`` numbers, whatever the size of the corpus.
+array of ``buckets`` numbers, whatever the size of the corpus.  A bitmap of hashed ids, of fixed
+size, keeps documents that are not trusted out of the join that finds the trusted ones; once the trusted
+ids outnumber its flags it lets most of the others through, with the same result.
 
 Defined results: NULL text counts as empty, no words: base_failed.  Rows with the
 same doc_id are scored one by one; an empty table gives an empty one.  With no
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from velostat.llm.common import documents_of, trimmed, words
 
 BUCKETS = 1 << 17
+BITMAP_BITS = 24  # 16 million flags of trusted ids: 2 MB at any size
 SMOOTHING = 1.0
 THRESHOLD = -0.25
 MIN_WORDS = 20
@@ -42,10 +45,39 @@ def _ngrams() -> Column:
     return F.concat("_h", F.zip_with("_h", following, lambda a, b: F.xxhash64(a, b)))
 
 
+def _id_bitmap(ids: DataFrame) -> DataFrame:
+    """One row with ``bits``: flags of the hashed doc_ids, 64 to a word, of one size always."""
+    slot = _slot(F.col("doc_id"))
+    words_of = ids.groupBy(F.shiftright(slot, 6).alias("_word")).agg(F.bit_or(_flag(slot)).alias("_bits"))
+    every = ids.sparkSession.range(1 << (BITMAP_BITS - 6)).select(F.col("id").alias("_word")).join(words_of, "_word", "left")
+    listed = every.agg(F.sort_array(F.collect_list(F.struct("_word", F.coalesce("_bits", F.lit(0)).alias("_bits")))).alias("_all"))
+    return listed.select(F.transform("_all", lambda x: x["_bits"]).alias("bits"))
+
+
+def _slot(doc_id: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(doc_id), 64 - BITMAP_BITS)
+
+
+def _flag(slot: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(64)).cast("int"))
+
+
+def flag_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``docs`` with ``_t``: 1 for a trusted document, 0 for any other.
+
+    Only documents whose id the bitmap lets through go to the join, so that few texts of the
+    others are shuffled.  The plan is the same at every size: the join is never a broadcast."""
+    slot = _slot(F.col("doc_id"))
+    word = F.get(_id_bitmap(trusted).scalar(), F.shiftright(slot, 6).cast("int"))
+    maybe = F.coalesce(word.bitwiseAND(_flag(slot)) != 0, F.lit(False)) & F.col("doc_id").isNotNull()
+    ids = trusted.select("doc_id", F.lit(1).alias("_t")).hint("merge")
+    near = docs.where(maybe).join(ids, "doc_id", "left").select(*docs.columns, F.coalesce("_t", F.lit(0)).alias("_t"))
+    return docs.where(~maybe).withColumn("_t", F.lit(0)).unionByName(near)
+
+
 def ngram_weights(docs: DataFrame, trusted: DataFrame, buckets: int, smoothing: float) -> DataFrame:
     """One row with ``weights``: log(target / raw) of each bucket, as an array."""
-    flagged = docs.join(trusted.select("doc_id", F.lit(1).alias("_t")), "doc_id", "left")
-    grams = _with_word_hashes(flagged).select(F.coalesce("_t", F.lit(0)).alias("_t"), F.explode(_ngrams()).alias("_g"))
+    grams = _with_word_hashes(flag_trusted(docs, trusted)).select("_t", F.explode(_ngrams()).alias("_g"))
     counts = grams.groupBy(F.pmod("_g", F.lit(buckets)).alias("_b")).agg(
         F.count(F.lit(1)).alias("raw"), F.sum("_t").alias("target")
     )
