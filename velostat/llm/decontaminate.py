@@ -8,12 +8,16 @@ window of that length always shares its fingerprint: no shared span is missed.
 Fingerprints are joined, and each match is extended to the full window by comparing
 the words themselves.
 
-A bitmap of the benchmark's fingerprints, of fixed size, goes to the tasks that read the
-documents and drops what cannot match before anything is shuffled; matches it lets
-through by chance fall out in the join.
+A bitmap of the benchmark's fingerprints goes to the tasks that read the documents and drops
+what cannot match before anything is shuffled; matches it lets through by chance fall out in
+the join.  It has 16 bits or more for each different fingerprint of the benchmark, up to
+2**MAX_BITMAP_BITS (32 MB); a benchmark of more than 16 million fingerprints lets more through,
+with the same result.  A window that many items share is matched once; its items are listed
+after the matches of a document are known.
 
 Defined results: NULL or empty text has no words: never hit, and as an item it
-never occurs; items without an id are not used; rows with the same doc_id are
+never occurs; the windows of items without an id hit like any other, these items count as one in
+n_items and are not named in items_sha256; rows with the same doc_id are
 judged one by one (equal rows alike); items that share windows all count; an empty
 benchmark hits nothing, an empty table gives an empty one.
 """
@@ -44,7 +48,7 @@ from velostat.llm.common import (
 
 WINDOW = 10
 GRAM = 4
-BITMAP_BITS = 20  # 2**20 flags: 128 KB, whatever the size of the benchmark
+MIN_BITMAP_BITS, MAX_BITMAP_BITS = 20, 28  # 128 KB to 32 MB
 
 _SEED, _BYTE_BASE, _WORD_BASE = 7, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
@@ -101,11 +105,11 @@ class _BlockWords:
 
 def item_windows(items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(item_id, n, h, off, window): the windows of all items with their fingerprints."""
-    rows = documents_of(items, "item_id").where("doc_id is not null")
+    rows = documents_of(items, "item_id")
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
+            ids = batch.column("doc_id").to_pylist()
             for block in text_blocks(batch.column("text")):
                 w = _BlockWords(block)
                 sizes = w.last - w.first
@@ -117,7 +121,7 @@ def item_windows(items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
                     whole = sizes[w.text[start]]
                     use = whole >= n if n == window else whole == n
                     for s, c, v in zip(start[use], chosen[use], signed(h[use])):
-                        out.append((int(ids[block.first + w.text[s]]), int(n), int(v), int(c - s), w.phrase(s, s + int(n))))
+                        out.append((ids[block.first + int(w.text[s])], int(n), int(v), int(c - s), w.phrase(s, s + int(n))))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in out], type=f.type) for i, f in enumerate(_ITEMS)], schema=_ITEMS
                 )
@@ -125,7 +129,21 @@ def item_windows(items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
     return rows.mapInArrow(run, spark_schema(_ITEMS))
 
 
-def _document_fingerprints(docs: DataFrame, lengths: list[int], bitmap, gram: int) -> DataFrame:
+def _bitmap(bench: DataFrame) -> tuple[np.ndarray, int]:
+    """Packed flags of the benchmark's fingerprints and the number of bits that find a flag."""
+    distinct = bench.select("h").distinct().count()
+    bits = min(max((16 * distinct).bit_length(), MIN_BITMAP_BITS), MAX_BITMAP_BITS)
+    slot = F.shiftrightunsigned("h", 64 - bits)
+    flags = bench.groupBy(F.shiftright(slot, 3).alias("byte")).agg(
+        F.bit_or(F.expr(f"shiftleft(1, cast(shiftrightunsigned(h, {64 - bits}) & 7 as int))")).alias("flags")
+    )
+    found = flags.toArrow()  # 2**MAX_BITMAP_BITS / 8 rows at most
+    packed = np.zeros(1 << (bits - 3), dtype=np.uint8)
+    packed[found["byte"].to_numpy()] = found["flags"].to_numpy().astype(np.uint8)
+    return packed, bits
+
+
+def _document_fingerprints(docs: DataFrame, lengths: list[int], bitmap, bits: int, gram: int) -> DataFrame:
     """A row with n_words for every document, and a row for each fingerprint the bitmap lets through."""
     docs = documents_of(docs).withColumn("key", text_key(F.col("doc_id"), F.col("text")))
 
@@ -140,7 +158,8 @@ def _document_fingerprints(docs: DataFrame, lengths: list[int], bitmap, gram: in
                     start, chosen, h = w.windows(n, gram)
                     new = np.flatnonzero(np.diff(chosen, prepend=-1))
                     chosen, h = chosen[new], h[new]
-                    maybe = flags[(h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)]
+                    slot = (h >> np.uint64(64 - bits)).astype(np.int64)
+                    maybe = (flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
                     for c, v in zip(chosen[maybe], signed(h[maybe])):
                         t = w.text[c]
                         begin = max(int(w.first[t]), int(c) - n)
@@ -175,16 +194,15 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     spark = docs.sparkSession
     bench = stage(item_windows(items, window, gram), "bench-windows")
     lengths = sorted(r[0] for r in bench.select("n").distinct().collect())  # at most ``window`` numbers
-    slot = F.shiftrightunsigned("h", 64 - BITMAP_BITS).cast("int").alias("slot")
-    flags = np.zeros(1 << BITMAP_BITS, dtype=bool)
-    flags[[r[0] for r in bench.select(slot).distinct().collect()]] = True  # at most 2**BITMAP_BITS numbers
-    found = stage(_document_fingerprints(docs, lengths, spark.sparkContext.broadcast(flags), gram), "doc-fingerprints")
+    packed, bits = _bitmap(bench)
+    found = stage(_document_fingerprints(docs, lengths, spark.sparkContext.broadcast(packed), bits, gram), "doc-fingerprints")
 
-    matches = found.where("n is not null").drop("n_words").join(bench, ["n", "h"])
+    windows = bench.select("n", "h", "off", "window").distinct()
+    matches = found.where("n is not null").drop("n_words").join(windows, ["n", "h"])
     start = F.col("at") - F.col("off")
     inside = F.slice(F.split("context", " "), (start - F.col("context_at") + 1).cast("int"), F.col("n"))
     fits = (start >= F.col("context_at")) & (F.array_join(F.when(start >= F.col("context_at"), inside), " ") == F.col("window"))
-    hits = matches.where(fits).select("doc_id", "key", start.alias("a"), (start + F.col("n")).alias("b"), "item_id").distinct()
+    hits = matches.where(fits).select("doc_id", "key", start.alias("a"), (start + F.col("n")).alias("b"), "window").distinct()
     hits = stage(hits, "bench-hits")
 
     spans = hits.groupBy("doc_id", "key", "a").agg(F.max("b").alias("b"))
@@ -193,7 +211,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     covered = spans.groupBy("doc_id", "key").agg(
         F.sum(F.greatest(F.lit(0), F.col("b") - F.greatest("a", "_reach"))).alias("n_hit")
     )
-    listed = hits.select("doc_id", "key", F.col("item_id").cast("string").alias("item")).distinct()
+    holders = bench.select("window", F.col("item_id").cast("string").alias("item")).distinct()
+    listed = hits.select("doc_id", "key", "window").distinct().join(holders, "window").select("doc_id", "key", "item").distinct()
     listed = listed.groupBy("doc_id", "key").agg(
         F.count(F.lit(1)).alias("n_items"), F.sha2(F.array_join(F.sort_array(F.collect_list("item")), ","), 256).alias("sha")
     )
