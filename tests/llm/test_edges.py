@@ -236,8 +236,8 @@ def test_simhash_components_against_brute_force(spark):
 def test_near_duplicates_keep_one_of_each_group(spark, hard_docs):
     kept = simhash.drop_near_duplicates(hard_docs)
     assert kept.columns == hard_docs.columns
-    components = {r.component_id for r in simhash.fingerprint_report(hard_docs).collect()}
-    assert kept.count() == len(components)
+    roots = {r.root for r in simhash.fingerprint_report(hard_docs).collect()}
+    assert kept.count() == len(roots)
 
 
 def test_decontamination_short_and_long_items(spark, hard_docs):

@@ -216,19 +216,15 @@ def fingerprint_links(distinct: DataFrame, distance: int = MAX_DISTANCE, chunk:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
     """(doc_id, key, fp, root, component_id) for every row of ``docs``: ``root`` is the component's
-    smallest fingerprint, ``component_id`` its smallest doc_id.  Of components that share this id
-    (their rows do) the one with the smallest root is named by it, the others by a hash of their root."""
+    smallest fingerprint, which tells it apart, ``component_id`` its smallest doc_id (components
+    whose rows share an id may share this too)."""
     prints = stage(fingerprints(docs, shingle), "simhash-prints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected_components(fingerprint_links(distinct.select("fp"), distance))
     placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    named = placed.groupBy("root").agg(F.min("least").alias("least"))
-    first = named.where("least is not null").groupBy("least").agg(F.min("root").alias("root"))
-    first = first.select("root", F.col("least").alias("_named"))
-    name = F.when(F.col("least").isNotNull(), F.coalesce("_named", F.xxhash64("root")))
-    named = named.join(first, "root", "left").select("root", name.alias("component_id"))
+    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = placed.select("fp", "root").join(named, "root")
     return prints.join(classes, "fp").select("doc_id", "key", "fp", "root", "component_id")
 
@@ -242,14 +238,14 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance
     best = found.groupBy("root").agg(F.min(order).alias("best"))
     best = best.select(F.col("best.doc_id").alias("_id"), F.col("best.key").alias("_key")).distinct()
     columns = docs.columns
-    rows = docs.select(
-        F.struct("*").alias("_row"), text_key(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_k")
-    )
-    kept = rows.join(best.select("_key", "_id"), (F.col("_k") == F.col("_key")) & F.col("_row.doc_id").eqNullSafe(F.col("_id")))
-    return kept.dropDuplicates(["_key"]).select("_row.*").select(*columns)
+    own, text = F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.struct("*").alias("_row"), text_key(own, text).alias("_k"), own.alias("_own"), F.xxhash64(text, F.lit(1)).alias("_second"))
+    kept = rows.join(best.select("_key", "_id"), (F.col("_k") == F.col("_key")) & F.col("_own").eqNullSafe(F.col("_id")))
+    return kept.dropDuplicates(["_key", "_own", "_second"]).select("_row.*").select(*columns)
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id."""
+    """doc_id, fingerprint (16 hex digits), component_id, root (the component's smallest fingerprint)."""
     found = near_duplicates(docs)
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    digits = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
+    return found.select("doc_id", digits("fp").alias("fingerprint"), "component_id", digits("root").alias("root"))
