@@ -67,7 +67,7 @@ def test_small_chunks_blocks_and_shards(spark, rows, monkeypatch):
 
 def test_hashes_that_collide_change_nothing(spark, rows, monkeypatch):
     """All phrases of a length share a hash: only the exact count is left to tell them apart."""
-    monkeypatch.setattr(phrases, "word_hashes", lambda words: np.zeros(len(words), dtype=np.uint64))
+    monkeypatch.setattr(phrases, "distinct_hashes", lambda words: np.zeros(len(words), dtype=np.uint64))
     assert mined(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,6 +146,25 @@ def find_words(data: np.ndarray, in_word: np.ndarray) -> tuple[np.ndarray, np.nd
     return change[0::2], change[1::2]
 
 
+def encode_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(code of each word, the distinct words), exactly."""
+    offsets = np.zeros(len(starts) + 1, dtype=np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    inside = np.zeros(len(data) + 1, dtype=np.int8)
+    inside[starts] = 1
+    inside[ends] -= 1
+    letters = data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(letters.tobytes()))
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary
+
+
+def distinct_hashes(words: pa.Array, seed: int = 0) -> np.ndarray:
+    """XXH3 of each of some distinct words."""
+    digest = xxhash.xxh3_64_intdigest
+    return np.fromiter((digest(w.as_buffer(), seed) for w in words), dtype=np.uint64, count=len(words))
+
+
 _M64 = (1 << 64) - 1
 
 

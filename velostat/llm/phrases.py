@@ -31,12 +31,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from velostat.llm.common import LOWER, arrow_batch, byte_class, find_words, mix64, spark_schema, stage, text_or_empty
+from velostat.llm.common import LOWER, arrow_batch, byte_class, distinct_hashes, encode_words, find_words, mix64, spark_schema, stage, text_or_empty
 
 MAX_WORDS = 3
 MIN_COUNT = 10
@@ -75,24 +74,6 @@ def stretches(data: bytes, overlap: int) -> Iterator[tuple[bytes, int]]:
     yield data[begin:], len(data) - begin
 
 
-def encode_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """(code of each word, the distinct words), exactly."""
-    offsets = np.zeros(len(starts) + 1, dtype=np.int32)
-    np.cumsum(ends - starts, out=offsets[1:])
-    inside = np.zeros(len(data) + 1, dtype=np.int8)
-    inside[starts] = 1
-    inside[ends] -= 1
-    letters = data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
-    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(letters.tobytes()))
-    coded = words.dictionary_encode()
-    return coded.indices.to_numpy(), coded.dictionary
-
-
-def word_hashes(words: pa.Array) -> np.ndarray:
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w.as_buffer()) for w in words), dtype=np.uint64, count=len(words))
-
-
 def parse(texts: list[bytes], overlap: int) -> Iterator[tuple[int, list[str], np.ndarray]]:
     """(text, chunks, words owned by each) of each stretch of each text."""
     buffer, of = [], []
@@ -116,7 +97,7 @@ def _parse_parts(parts: list[bytes], of: list[tuple[int, int]], overlap: int):
     if not len(starts):
         return
     codes, words = encode_words(data, starts, ends)
-    h = word_hashes(words)[codes]
+    h = distinct_hashes(words)[codes]
     for k in range(1, overlap):  # of the first words from each place on
         h[:-k] = h[:-k] * _TURN + h[k:]
     triggers = mix64(h) % np.uint64(MODULUS) == 0
@@ -195,8 +176,8 @@ class BlockPhrases:
         # words of one piece have as many ends of pieces before them; chunks are lines
         piece = np.cumsum(_ENDS[data], dtype=np.int32)[starts]
         tongue = langs.indices.to_numpy().astype(np.int64)[row]
-        word_h = word_hashes(self.words)
-        lang_h = word_hashes(self.langs)
+        word_h = distinct_hashes(self.words)
+        lang_h = distinct_hashes(self.langs)
         # a phrase of n words is (code of its first n - 1, the last word); code 0.. in each level
         self.levels = []
         code = tongue * len(self.words) + codes

@@ -1,7 +1,7 @@
 """Substring dedup: repeated windows of words, found by Rabin-Karp hashes.
 
 A window is ``WINDOW`` consecutive words of one document.  Its hash comes from prefix
-sums over the words' hashes, in constant time; hashes are counted in Spark, and a
+sums over the words' hashes (XXH3), in constant time, once for each of two independent word hashes; hashes are counted in Spark, and a
 window that also starts in a document with a smaller id is removed.  Overlapping
 windows merge into maximal intervals.  See ``repeats`` for how windows are grouped,
 so that common passages and copies shuffle as few rows.
@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velostat.llm.common import SPACE_SEPARATED, RollingHash, byte_values, find_words, mix64, signed, spark_schema, stage, word_hashes
+from velostat.llm.common import SPACE_SEPARATED, RollingHash, distinct_hashes, encode_words, find_words, mix64, signed, spark_schema, stage
 from velostat.llm.repeats import Tokens, keyed, repeated_spans, texts_with_regions, with_removals
 
 WINDOW = 50
 GRAM = 24
 
-_SEED, _BYTE_BASE, _BASE, _SECOND_BASE = 11, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+_BASE, _SECOND_BASE = 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 _WINDOWS = pa.schema(
     [("a", pa.int64()), ("c", pa.int64()), ("j", pa.int32()), ("w1", pa.int64()), ("w2", pa.int64()), ("d", pa.int64())]
 )
@@ -34,7 +34,8 @@ _WINDOWS = pa.schema(
 
 def word_tokens(block) -> Tokens:
     starts, ends = find_words(block.data, SPACE_SEPARATED)
-    hashes = word_hashes(block.data, starts, ends, byte_values(_SEED), RollingHash(_BYTE_BASE))
+    codes, known = encode_words(block.data, starts, ends)
+    hashes = distinct_hashes(known)[codes]
     first, last = np.searchsorted(starts, block.starts), np.searchsorted(starts, block.ends)
     return Tokens(hashes, np.repeat(np.arange(len(first)), last - first), first, last, _BASE)
 
@@ -47,13 +48,13 @@ def _window_hashes(window: int):
             for d, _, text, (a, c, lo, n, _) in texts_with_regions(batch):
                 data = np.append(np.frombuffer(text, dtype=np.uint8), np.uint8(10))
                 starts, ends = find_words(data, SPACE_SEPARATED)
-                hashes = word_hashes(data, starts, ends, byte_values(_SEED), RollingHash(_BYTE_BASE))
+                codes, known = encode_words(data, starts, ends)
                 which = np.repeat(np.arange(len(n)), n)
                 j = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
                 at = lo[which] + j
                 columns = []
-                for base in (_BASE, _SECOND_BASE):
-                    rolling = RollingHash(base)
+                for seed, base in enumerate((_BASE, _SECOND_BASE)):
+                    rolling, hashes = RollingHash(base), distinct_hashes(known, seed)[codes]
                     columns.append(signed(mix64(rolling.spans(rolling.prefix(hashes), at, at + window))))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a[which]), pa.array(c[which]), pa.array(j.astype(np.int32))]

@@ -44,8 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from velostat.llm.common import BLOCK_BYTES, LOWER, TextBlock, byte_class, documents_of, find_words, spark_schema, stage, text_blocks
-from velostat.llm.phrases import encode_words
+from velostat.llm.common import BLOCK_BYTES, LOWER, TextBlock, byte_class, documents_of, encode_words, find_words, spark_schema, stage, text_blocks
 from velostat.session import scratch_dir
 
 LENGTH = 2048
