@@ -159,7 +159,7 @@ def test_colliding_headers_keep_the_last(spark, tmp_dir):
 def test_quoted_newlines(spark, tmp_dir):
     text = 'ride_id,start_station_name,started_at\nA,"Main\nStreet ""1""",2025-01-02 03:04:05\nB,S,2025-01-02 03:04:05\n'
     _write(tmp_dir, "a.csv", text)
-    rows = {r.ride_id: r.start_station_name for r in csv_ingest.ingest_csv(spark, tmp_dir, multiline=True).collect()}
+    rows = {r.ride_id: r.start_station_name for r in csv_ingest.ingest_csv(spark, tmp_dir).collect()}
     assert rows == {"A": 'Main\nStreet "1"', "B": "S"}
 
 
