@@ -162,7 +162,7 @@ def encode_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tupl
 def distinct_hashes(words: pa.Array, seed: int = 0) -> np.ndarray:
     """XXH3 of each of some distinct words."""
     digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w.as_buffer(), seed) for w in words), dtype=np.uint64, count=len(words))
+    return np.fromiter([digest(w, seed) for w in words.cast(pa.binary()).to_pylist()], dtype=np.uint64, count=len(words))
 
 
 _M64 = (1 << 64) - 1

@@ -35,7 +35,21 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from velostat.llm.common import LOWER, arrow_batch, byte_class, distinct_hashes, encode_words, find_words, mix64, spark_schema, stage, text_or_empty
+from velostat.llm.common import (
+    LOWER,
+    RollingHash,
+    arrow_batch,
+    byte_class,
+    byte_values,
+    distinct_hashes,
+    encode_words,
+    find_words,
+    mix64,
+    spark_schema,
+    stage,
+    text_or_empty,
+    word_hashes,
+)
 
 MAX_WORDS = 3
 MIN_COUNT = 10
@@ -44,7 +58,7 @@ NESTED_PERCENT = 50
 MODULUS = 16
 LONGEST = 4096  # words a chunk owns at most
 STRETCH = 1 << 21  # bytes of one text parsed at a time
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 SHARD_ENTRIES = 1 << 20  # hashes meant for one shard
 
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -52,6 +66,7 @@ _IN_WORD = byte_class(PIECE_ENDS + b"\x20\x09")
 _ENDS = ~byte_class(PIECE_ENDS)
 _NEXT_GAP = re.compile(rb"[\x20\x09-\x0d.,;:!?]")
 _TURN = np.uint64(0x9E3779B97F4A7C15)
+_SEED, _BASE = 13, 0xC2B2AE3D27D4EB4F
 
 _CHUNKS = pa.schema([("lang", pa.string()), ("chunk", pa.string()), ("owned", pa.int64())])
 _BLOCKS = pa.schema(
@@ -96,8 +111,7 @@ def _parse_parts(parts: list[bytes], of: list[tuple[int, int]], overlap: int):
     starts, ends = find_words(data, _IN_WORD)
     if not len(starts):
         return
-    codes, words = encode_words(data, starts, ends)
-    h = distinct_hashes(words)[codes]
+    h = word_hashes(data, starts, ends, byte_values(_SEED), RollingHash(_BASE))
     for k in range(1, overlap):  # of the first words from each place on
         h[:-k] = h[:-k] * _TURN + h[k:]
     triggers = mix64(h) % np.uint64(MODULUS) == 0
@@ -157,6 +171,19 @@ def _chunk_rows(batch: pa.RecordBatch, owners, chunks, owned) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([lang.cast(pa.string()), pa.array(chunks, pa.string()), pa.array(np.concatenate(owned))], schema=_CHUNKS)
 
 
+def _by_code(code: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places ``at`` in the order of their codes, and where a new code begins."""
+    width = len(code).bit_length()
+    own = code[at]
+    if len(own) and int(own.max()) >> (62 - width) == 0:  # code and place fit into one number
+        packed = np.sort(own << width | at)
+        order, own = packed & ((1 << width) - 1), packed >> width
+    else:
+        order = np.argsort(own)
+        order, own = at[order], own[order]
+    return order, np.diff(own, prepend=-1) != 0
+
+
 class BlockPhrases:
     """The distinct phrases of some chunks, by number of words: codes, counts and hashes."""
 
@@ -170,33 +197,31 @@ class BlockPhrases:
         sizes = pc.binary_length(chunk).to_numpy().astype(np.int64) + 1
         first = np.searchsorted(starts, np.cumsum(sizes) - sizes)
         counts = np.diff(np.append(first, len(starts)))
-        row = np.repeat(np.arange(len(sizes)), counts)
-        mine = np.arange(len(starts)) - first[row] < owned[row]
-        weights = weight[row]
+        row = np.repeat(np.arange(len(sizes), dtype=np.int32), counts)
+        mine = np.arange(len(starts)) < (first + owned)[row]
         # words of one piece have as many ends of pieces before them; chunks are lines
         piece = np.cumsum(_ENDS[data], dtype=np.int32)[starts]
-        tongue = langs.indices.to_numpy().astype(np.int64)[row]
-        word_h = distinct_hashes(self.words)
-        lang_h = distinct_hashes(self.langs)
-        # a phrase of n words is (code of its first n - 1, the last word); code 0.. in each level
+        del data, joined, starts, ends
+        tongue = langs.indices.to_numpy()[row]
+        word_h, lang_h = distinct_hashes(self.words), distinct_hashes(self.langs)
+        # the code of a phrase is that of its first words and that of the last word
         self.levels = []
-        code = tongue * len(self.words) + codes
+        code = tongue.astype(np.int64) * len(self.words) + codes
         for n in range(1, max_words + 1):
             if n > 1:
                 code = code[:-1] * len(self.words) + codes[n - 1 :] if len(code) else code
             at = np.flatnonzero(mine[: len(code)] & (piece[: len(code)] == piece[n - 1 : n - 1 + len(code)]))
-            order = at[np.argsort(code[at], kind="stable")]
-            cut = np.flatnonzero(np.diff(code[order], prepend=-1))
-            total = np.add.reduceat(weights[order], cut) if len(cut) else np.zeros(0, np.int64)
+            order, new = _by_code(code, at)
+            cut = np.flatnonzero(new)
+            total = np.add.reduceat(weight[row[order]], cut) if len(cut) else np.zeros(0, np.int64)
             some = order[cut]  # a place where each distinct phrase starts
             h = lang_h[tongue[some]] + np.uint64(n)
             for k in range(n):
                 h = mix64(h * _TURN + word_h[codes[some + k]])
             self.levels.append((some, total, h))
-            # codes as ranks, so that the next level's products stay small
-            rank = np.zeros(len(code), dtype=np.int64)
-            rank[order] = np.cumsum(np.diff(code[order], prepend=-1) != 0)
-            code = rank
+            # ranks as codes, so that the next level's products stay small
+            code[:] = 0
+            code[order] = np.cumsum(new)
         self.codes, self.tongue = codes, tongue
 
     def texts(self, n: int, places: np.ndarray) -> pa.Array:
