@@ -13,7 +13,9 @@ def test_ingest_analytics_report(spark, tmp_dir):
     assert counts["trips"] > 0 and counts["stations"] > 0
     again = cli.run_ingest(spark, raw, wh, reuse_silver=True)
     assert again == counts
-    log = spark.read.parquet(f"{wh}/data_quality_log")
+    assert cli.run_ingest(spark, raw, wh, reuse_silver=True, run_id="r") == cli.run_ingest(spark, raw, wh, reuse_silver=True, run_id="r")
+    log = spark.read.parquet(f"{wh}/data_quality_log").where("run_id <> 'r'")
+    assert spark.read.parquet(f"{wh}/data_quality_log").count() == 27
     assert log.count() == 18  # two runs x nine checks
     sections = cli.analytics_sections(spark, wh, "2024-01-01", "2025-01-01")
     assert len(sections) == 11

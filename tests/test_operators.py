@@ -111,14 +111,33 @@ def test_dq_summary_all_nine_rows_even_when_clean(spark):
     assert len(out) == 9 and set(out.values()) == {0}
 
 
-def test_dq_log_appends(spark, tmp_dir):
+def test_dq_log_appends_each_run_once(spark, tmp_dir):
     trips = b.raw_rides(spark, SF_SMALL)
     st = b.stations_partial(spark, SF_SMALL)
     path = f"{tmp_dir}/dq_log"
-    for _ in range(2):
-        quality.append_dq_log(quality.dq_summary(trips, st, as_of=b.AS_OF), path)
-    log = spark.read.parquet(path)
-    assert log.count() == 18 and set(log.columns) == {"check_name", "issue_count", "details", "logged_at"}
+    summary = quality.dq_summary(trips, st, as_of=b.AS_OF)
+    for run in ("one", "two", "two", None, None):  # the second run is repeated; runs without an id are all their own
+        quality.append_dq_log(summary, path, run_id=run)
+    log = quality.read_dq_log(spark, path)
+    assert log.columns == ["check_name", "issue_count", "details", "logged_at", "run_id"]
+    assert log.count() == 4 * 9 and log.where("run_id = 'two'").count() == 9
+    again = log.where("run_id = 'two'").select("logged_at").distinct().collect()
+    assert len(again) == 1
+
+
+def test_rejects_curated_and_duplicates_are_the_input(spark, tmp_dir):
+    from velostat.sources import tables
+
+    raw = b.raw_rides(spark, SF_CHECK)
+    tables.write_silver(raw, b.stations(spark, SF_CHECK), tmp_dir)
+    good, rejects = tables.read_good_trips(spark, tmp_dir), tables.read_rejects(spark, tmp_dir)
+    curated = curate.curate_trips(good).count()
+    duplicates = good.count() - good.select("ride_id").distinct().count()
+    assert rejects.count() + curated + duplicates == raw.count() and rejects.count() and duplicates
+    assert curate.curation_filter(rejects.drop("reject_bits")).count() == 0
+    assert curate.curation_filter(good).count() == good.count()
+    rows = {r.reason: r.rows for r in curate.rejects_by_reason(rejects).collect()}
+    assert list(rows) == list(curate.reject_reasons()) and rows["ride_id_null"] == raw.where("ride_id is null").count()
 
 
 def test_null_out_missing_stations(spark):

@@ -107,7 +107,7 @@ def test_states_of_lines():
         ('""', False, True),
         ('"""', True, False),
         ('x"y"z', False, False),
-        ('"a"b,"c', True, False),
+        ('"a"b,"c', True, True),
         ("", False, True),
     ):
         assert (records.ends_inside(line, False), records.ends_inside(line, True)) == (outside, inside), line

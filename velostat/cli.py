@@ -2,7 +2,7 @@
 
 * ``ingest``: CSV folder -> silver Parquet -> curated trips + stations ->
   one quality-log append.  ``--reuse-silver`` skips the CSV work when the
-  silver tables exist.
+  silver tables exist; ``--run-id`` makes a repeated run log its checks once.
 * ``analytics``: the analytics suite on the curated tables, printed section
   by section (the local-year window is a parameter).
 * ``report``: the short summary report (top-k of 10, rounded medians).
@@ -32,22 +32,24 @@ def _paths(warehouse: str) -> dict[str, str]:
     }
 
 
-def run_ingest(spark, raw_dir: str, warehouse: str, reuse_silver: bool = False, tz: str = NY_TZ) -> dict[str, int]:
+def run_ingest(
+    spark, raw_dir: str, warehouse: str, reuse_silver: bool = False, tz: str = NY_TZ, run_id: str | None = None
+) -> dict[str, int]:
     p = _paths(warehouse)
     normalized = None
     if not (reuse_silver and tables.silver_exists(spark, p["silver"])):
         normalized = csv_ingest.ingest_csv(spark, raw_dir, tz=tz)
-    silver_trips, silver_stations = tables.build_silver(spark, normalized, p["silver"], reuse=reuse_silver)
+    _, silver_stations = tables.build_silver(spark, normalized, p["silver"], reuse=reuse_silver)
     n_stations = tables.write_stations(silver_stations, p["stations"])
-    n_trips = tables.write_curated_trips(silver_trips, p["trips"])
-    trips, stations = spark.read.parquet(p["trips"]), spark.read.parquet(p["stations"])
-    quality.append_dq_log(quality.dq_summary(trips, stations), p["dq_log"])
-    return {"stations": n_stations, "trips": n_trips}
+    n_trips = tables.write_curated_trips(tables.read_good_trips(spark, p["silver"]), p["trips"])
+    trips, stations = tables.read_curated_trips(spark, p["trips"]), tables.read_stations(spark, p["stations"])
+    quality.append_dq_log(quality.dq_summary(trips, stations), p["dq_log"], run_id=run_id)
+    return {"stations": n_stations, "trips": n_trips, "rejects": tables.read_rejects(spark, p["silver"]).count()}
 
 
 def analytics_sections(spark, warehouse: str, start: str, end: str, k: int = 20, tz: str = NY_TZ) -> dict:
     p = _paths(warehouse)
-    trips, stations = spark.read.parquet(p["trips"]), spark.read.parquet(p["stations"])
+    trips, stations = tables.read_curated_trips(spark, p["trips"]), tables.read_stations(spark, p["stations"])
     days = activity.stage_rider_days(
         activity.rider_day_activity(trips, start, end, tz=tz), scratch_dir(spark, "rider_day_activity")
     )
@@ -81,6 +83,7 @@ def main(argv=None) -> int:
     ing.add_argument("--warehouse", required=True)
     ing.add_argument("--reuse-silver", action="store_true")
     ing.add_argument("--tz", default=NY_TZ, help="zone of the wall clocks in the CSV files")
+    ing.add_argument("--run-id", default=None, help="id of this run in the quality log; a repeated run with the same id logs once")
     for name in ("analytics", "report"):
         sp = sub.add_parser(name)
         sp.add_argument("--warehouse", required=True)
@@ -93,13 +96,16 @@ def main(argv=None) -> int:
 
     spark = get_session(args.master)
     if args.cmd == "ingest":
-        counts = run_ingest(spark, args.raw, args.warehouse, args.reuse_silver, args.tz)
-        print(f"Loaded {counts['stations']:,} stations and {counts['trips']:,} trips; quality checks logged.")
+        counts = run_ingest(spark, args.raw, args.warehouse, args.reuse_silver, args.tz, args.run_id)
+        print(
+            f"Loaded {counts['stations']:,} stations and {counts['trips']:,} trips"
+            f" ({counts['rejects']:,} rows rejected); quality checks logged."
+        )
     elif args.cmd == "analytics":
         _print(analytics_sections(spark, args.warehouse, args.start, args.end, tz=args.tz), args.rows)
     else:
         p = _paths(args.warehouse)
-        trips, stations = spark.read.parquet(p["trips"]), spark.read.parquet(p["stations"])
+        trips, stations = tables.read_curated_trips(spark, p["trips"]), tables.read_stations(spark, p["stations"])
         _print(summary_report(trips, stations, args.start, args.end, scratch_dir(spark, "report"), tz=args.tz), args.rows)
     return 0
 

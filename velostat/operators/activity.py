@@ -112,6 +112,38 @@ def stage_rider_days(rider_days: DataFrame, path: str) -> DataFrame:
     return rider_days.sparkSession.read.parquet(path)
 
 
+GRAINS = ("day", "week", "month")
+
+
+def stage_day_bitmaps(rider_days: DataFrame, path: str) -> DataFrame:
+    """Stage rider-days as exact bitmaps: (activity_day, bucket, proxies), one row per day and
+    bucket of 32,768 numbered proxies.
+
+    Proxies are numbered once, in a stored table (numbers must not change between reads);
+    numbers are dense within each task that gave them.  A row has 4 KB at any number of active
+    proxies, and bitmaps merge by OR, so metrics of any grain come from this one table without
+    counting (period, proxy) pairs again."""
+    spark = rider_days.sparkSession
+    numbers = rider_days.select("rider_proxy_id").distinct().withColumn("n", F.monotonically_increasing_id())
+    numbers.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/proxies")
+    numbers = spark.read.parquet(f"{path}/proxies")
+    bitmaps = (
+        rider_days.join(numbers, "rider_proxy_id")
+        .groupBy("activity_day", F.bitmap_bucket_number("n").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("proxies"))
+    )
+    bitmaps.sortWithinPartitions("activity_day").write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/days")
+    return spark.read.parquet(f"{path}/days")
+
+
+def active_proxies(bitmaps: DataFrame, grain: str = "day") -> DataFrame:
+    """(period, active_proxies): distinct proxies per day, Monday-start week or month, exactly;
+    a union of day bitmaps per bucket, then their sizes."""
+    period = F.date_trunc(grain, "activity_day").cast("date").alias("period")
+    merged = bitmaps.groupBy(period, "bucket").agg(F.bitmap_or_agg("proxies").alias("proxies"))
+    return merged.groupBy("period").agg(F.sum(F.bitmap_count("proxies")).alias("active_proxies"))
+
+
 def mom_growth(monthly: DataFrame) -> DataFrame:
     """Prior month, change and growth rate (4 dp, half up) per month.
 

@@ -1,22 +1,24 @@
 """Data-quality checks on any trips DataFrame (raw, normalized or curated).
 
-The nine logged checks come from one grouped aggregate over (kind, key):
-ride ids carry the six per-row flags, so the per-row counts and the repeated
-ids share one shuffle, and station ids feed both reference checks.  Catalyst
-pushes the kind filters below the aggregate, so the two branches read
-disjoint columns (each Parquet column is read once) and only the ride branch
-moves rows in proportion to the trips.  The single checks stay available on
-their own.
+The nine logged checks come from three branches that read disjoint columns: the six per-row
+checks are one aggregate, repeated ride ids one count, and both reference checks one count per
+(side, station id) against the dimension.  The single checks stay available on their own.
+
+The log is append-only by run: a run's rows live in a folder of their own, so appending a run
+again (a retry) replaces its rows instead of adding to them.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from velostat.schema import DQ_CHECKS
+from velostat.sources.contracts import DQ_LOG
 
 NULL_CHECKS = ("ride_id", "started_at", "ended_at", "member_casual")
 
@@ -150,6 +152,19 @@ def with_logged_at(summary: DataFrame, logged_at=None) -> DataFrame:
     return summary.select("check_name", "issue_count", "details", stamp.alias("logged_at"))
 
 
-def append_dq_log(summary: DataFrame, path: str, logged_at=None) -> None:
-    """Append one run's checks to the append-only quality log (Parquet)."""
-    with_logged_at(summary, logged_at).write.mode("append").parquet(path)
+def append_dq_log(summary: DataFrame, path: str, logged_at=None, run_id: str | None = None) -> str:
+    """Append one run's checks to the quality log (Parquet); returns the run's id.
+
+    The rows go to the folder ``run_id=...`` in one commit: an append that is repeated with the
+    same ``run_id``, whether the first one ended or not, leaves that run's rows once."""
+    run_id = run_id or uuid.uuid4().hex
+    rows = DQ_LOG.enforced(with_logged_at(summary, logged_at)).withColumn("run_id", F.lit(run_id))
+    writer = rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_id").parquet(path)
+    return run_id
+
+
+def read_dq_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log's rows, all runs, with the ``run_id`` they were appended under."""
+    log = spark.read.schema(T.StructType([*DQ_LOG.schema, T.StructField("run_id", T.StringType())])).parquet(path)
+    return DQ_LOG.checked(log, partitions=("run_id",))

@@ -159,3 +159,5 @@ ORDERS_WINDOW = ("1995-01-01", "2002-01-01")
 VOLUME_WINDOW = ("1995-01-01", "2002-01-01")
 # Fixed "now" for the future-start check, so results do not move with the clock.
 AS_OF = "2024-01-15 00:00:00"
+# Fixed times of two appends to the quality log (UTC).
+LOGGED_AT = ("2024-01-15 01:00:00", "2024-01-15 02:30:00")

@@ -67,10 +67,17 @@ def legacy_layout(rides: DataFrame) -> DataFrame:
     )
 
 
+def with_hard_names(rides: DataFrame) -> DataFrame:
+    """Every seventh duration gets a start station name with a newline, quotes and commas."""
+    name = F.col("start_station_name")
+    hard = F.concat(name, F.lit('\n"Gate", '), F.col("trip_duration_seconds").cast("string"), F.lit('\n\n"'))
+    return rides.withColumn("start_station_name", F.when(F.col("trip_duration_seconds") % 7 == 0, hard).otherwise(name))
+
+
 def write_trip_csvs(spark: SparkSession, sf_dir: str) -> str:
-    """Write ``raw_rides`` as CSV under a fresh scratch folder; returns it."""
+    """Write ``raw_rides``, some with names over several lines, as CSV under a fresh scratch folder; returns it."""
     root = scratch_dir(spark, "trip-csv")
-    rides = raw_rides(spark, sf_dir)
+    rides = with_hard_names(raw_rides(spark, sf_dir))
     (
         modern_layout(rides.where(~_is_legacy()))
         .write.option("header", "true")

@@ -7,15 +7,20 @@ same texts.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from velostat.functions import columns as C
+from velostat.operators import activity, quality
+from velostat.operators.curate import rejects_by_reason
 from velostat.operators.stations import derive_stations
 from velostat.plans import bindings as b
 from velostat.plans import text_fixtures as tf
 from velostat.session import scratch_dir
 from velostat.sources import csv_ingest, tables
+from velostat.sources.contracts import CURATED_TRIPS, DQ_LOG, STATIONS
 from velostat.schema import TRIP_COLUMNS
 
 # Day shifts that move the January events onto the 2024 DST changes.
@@ -207,6 +212,81 @@ def stations_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.round("station_lng", 6).alias("station_lng"))
 
 
+def dq_log_append_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs appended to a quality log, the first of them twice; the log read back."""
+    path = scratch_dir(spark, "dq-log") + "/log"
+    summary = quality.dq_summary(b.raw_rides(spark, sf_dir), b.stations_partial(spark, sf_dir), as_of=b.AS_OF)
+    for run, logged_at in (("first", b.LOGGED_AT[0]), ("first", b.LOGGED_AT[0]), ("second", b.LOGGED_AT[1])):
+        quality.append_dq_log(summary, path, logged_at, run_id=run)
+    return quality.read_dq_log(spark, path)
+
+
+def curation_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected trips by broken rule, from the reject partition of the written silver table."""
+    root = scratch_dir(spark, "silver")
+    tables.write_silver(b.raw_rides(spark, sf_dir), derive_stations(b.raw_rides(spark, sf_dir)), root)
+    return rejects_by_reason(tables.read_rejects(spark, root))
+
+
+def table_contracts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the written tables: place, type, whether required, rows and NULLs found on disk."""
+    root = scratch_dir(spark, "contracts")
+    trips, stations = b.raw_rides(spark, sf_dir), derive_stations(b.raw_rides(spark, sf_dir))
+    tables.write_curated_trips(trips, f"{root}/trips")
+    tables.write_stations(stations, f"{root}/stations")
+    quality.append_dq_log(quality.dq_summary(trips, stations, as_of=b.AS_OF), f"{root}/log", b.LOGGED_AT[0], run_id="only")
+    parts = []
+    for contract, read in (
+        (CURATED_TRIPS, tables.read_curated_trips(spark, f"{root}/trips")),
+        (STATIONS, tables.read_stations(spark, f"{root}/stations")),
+        (DQ_LOG, quality.read_dq_log(spark, f"{root}/log")),
+    ):
+        df = contract.verify(read).select(*contract.columns)
+        facts = [
+            F.struct(
+                F.lit(contract.table).alias("table_name"),
+                F.lit(c).alias("column_name"),
+                F.lit(place).alias("place"),
+                F.lit(kind).alias("data_type"),
+                F.lit(c in contract.required).alias("required"),
+                F.count(F.lit(1)).alias("rows"),
+                F.count_if(F.col(c).isNull()).alias("null_rows"),
+            )
+            for place, (c, kind) in enumerate(df.dtypes, 1)
+        ]
+        parts.append(df.agg(F.array(*facts).alias("facts")).select(F.explode("facts").alias("f")).select("f.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return activity.rider_day_activity(b.order_rides(spark, sf_dir), *b.ORDERS_WINDOW)
+
+
+def staged_rider_days_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rider-days written once and read back."""
+    return activity.stage_rider_days(_order_days(spark, sf_dir), scratch_dir(spark, "rider-days"))
+
+
+def staged_activity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily, weekly and monthly proxies and the monthly change, all from one staged table of rider-days."""
+    days = staged_rider_days_q(spark, sf_dir)
+    monthly = activity.monthly_active_proxy(days)
+    rows = lambda df, grain, period, value: df.select(F.lit(grain).alias("grain"), F.col(period).alias("period"), F.col(value).alias("value"))
+    return (
+        rows(activity.daily_active_proxy(days), "day", "activity_day", "daily_active_users_proxy")
+        .union(rows(activity.weekly_active_proxy(days), "week", "activity_week_start", "weekly_active_users_proxy"))
+        .union(rows(monthly, "month", "activity_month", "monthly_active_users_proxy"))
+        .union(rows(activity.mom_growth(monthly), "change", "activity_month", "month_over_month_change"))
+    )
+
+
+def bitmap_activity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily, weekly and monthly proxies as unions of one staged table of day bitmaps."""
+    bitmaps = activity.stage_day_bitmaps(_order_days(spark, sf_dir), scratch_dir(spark, "day-bitmaps"))
+    parts = [activity.active_proxies(bitmaps, g).select(F.lit(g).alias("grain"), "period", "active_proxies") for g in activity.GRAINS]
+    return reduce(DataFrame.unionByName, parts)
+
+
 TEXT_QUERIES = {
     "clean_text": clean_text_q,
     "safe_cast": safe_cast_q,
@@ -222,4 +302,10 @@ TEXT_QUERIES = {
     "parquet_roundtrip": parquet_roundtrip_q,
     "curated_table_load": curated_table_q,
     "stations_table_load": stations_table_q,
+    "dq_log_append": dq_log_append_q,
+    "curation_rejects": curation_rejects_q,
+    "table_contracts": table_contracts_q,
+    "staged_rider_days": staged_rider_days_q,
+    "staged_activity": staged_activity_q,
+    "bitmap_activity": bitmap_activity_q,
 }

@@ -28,42 +28,42 @@ TRIP_COLUMNS = (
 # Fixed values (must equal the reference's): station dimension columns.
 STATION_COLUMNS = ("station_id", "station_name", "station_lat", "station_lng")
 
-TRIPS_SCHEMA = T.StructType(
-    [
-        T.StructField("ride_id", T.StringType()),
-        T.StructField("rideable_type", T.StringType()),
-        T.StructField("started_at", T.TimestampType()),
-        T.StructField("started_at_est", T.TimestampNTZType()),
-        T.StructField("ended_at", T.TimestampType()),
-        T.StructField("start_station_name", T.StringType()),
-        T.StructField("start_station_id", T.StringType()),
-        T.StructField("end_station_name", T.StringType()),
-        T.StructField("end_station_id", T.StringType()),
-        T.StructField("start_lat", T.DoubleType()),
-        T.StructField("start_lng", T.DoubleType()),
-        T.StructField("end_lat", T.DoubleType()),
-        T.StructField("end_lng", T.DoubleType()),
-        T.StructField("member_casual", T.StringType()),
-        T.StructField("trip_duration_seconds", T.LongType()),
-    ]
-)
 
-STATIONS_SCHEMA = T.StructType(
-    [
-        T.StructField("station_id", T.StringType()),
-        T.StructField("station_name", T.StringType()),
-        T.StructField("station_lat", T.DoubleType()),
-        T.StructField("station_lng", T.DoubleType()),
-    ]
+def _table(required, **columns) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, name not in required) for name, kind in columns.items()])
+
+
+_TRIP_TYPES = {c: T.StringType() for c in TRIP_COLUMNS} | {
+    "started_at": T.TimestampType(),
+    "started_at_est": T.TimestampNTZType(),
+    "ended_at": T.TimestampType(),
+    "start_lat": T.DoubleType(),
+    "start_lng": T.DoubleType(),
+    "end_lat": T.DoubleType(),
+    "end_lng": T.DoubleType(),
+    "trip_duration_seconds": T.LongType(),
+}
+
+# Normalized (silver) trips: any column may be NULL.
+TRIPS_SCHEMA = _table((), **_TRIP_TYPES)
+
+# Fixed values (must equal the reference's): columns of curated trips that are never NULL.
+CURATED_TRIPS_SCHEMA = _table(("ride_id", "started_at", "started_at_est", "ended_at", "member_casual"), **_TRIP_TYPES)
+
+STATIONS_SCHEMA = _table(
+    ("station_id", "station_name"),
+    station_id=T.StringType(),
+    station_name=T.StringType(),
+    station_lat=T.DoubleType(),
+    station_lng=T.DoubleType(),
 )
 
-DQ_LOG_SCHEMA = T.StructType(
-    [
-        T.StructField("check_name", T.StringType()),
-        T.StructField("issue_count", T.LongType()),
-        T.StructField("details", T.StringType()),
-        T.StructField("logged_at", T.TimestampType()),
-    ]
+DQ_LOG_SCHEMA = _table(
+    ("check_name", "issue_count", "logged_at"),
+    check_name=T.StringType(),
+    issue_count=T.LongType(),
+    details=T.StringType(),
+    logged_at=T.TimestampType(),
 )
 
 # Fixed values (must equal the reference's): source-column aliases per target,
@@ -101,5 +101,5 @@ DQ_CHECKS = (
     ("duplicate_ride_ids", "Distinct ride_id values that appear more than once."),
 )
 
-# Curation bounds: a trip must last more than 0 and less than a day.
+# Fixed value (must equal the reference's): a trip must last more than 0 seconds and less than a day.
 MAX_TRIP_SECONDS = 86400
