@@ -50,7 +50,7 @@ from velostat.session import scratch_dir
 LENGTH = 2048
 BATCH = 256
 END_ID = 2
-REMEMBERED = 800_000
+REMEMBERED = 1_400_000
 _SPACE_OR_NEWLINE = byte_class(b" \n")
 _IS_CLOSING, _IS_LETTER = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _IS_CLOSING[list(b".,")] = True
