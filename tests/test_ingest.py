@@ -163,14 +163,32 @@ def test_quoted_newlines(spark, tmp_dir):
     assert rows == {"A": 'Main\nStreet "1"', "B": "S"}
 
 
-def test_many_headers_without_a_job_each(spark, tmp_dir):
+def test_many_headers_in_about_one_job(spark, tmp_dir):
     import time
 
-    for i in range(300):
-        _write(tmp_dir, f"f{i}.csv", f"ride_id,started_at\nR{i},2025-01-02 03:04:05\n")
+    for i in range(2_000):
+        _write(f"{tmp_dir}/d{i % 7}", f"f {i}+.csv", f"ride_id,started_at{',x' * (i % 3)}\nR{i},2025-01-02 03:04:05\n")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
     start = time.perf_counter()
-    groups = csv_ingest.group_by_header(spark, csv_ingest.list_csv_files(spark, tmp_dir))
-    assert len(groups) == 1 and time.perf_counter() - start < 10
+    groups = csv_ingest.group_by_header(spark, csv_ingest.csv_files(spark, tmp_dir))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert len(groups) == 3 and sum(map(len, groups.values())) == 2_000
+    assert len(jobs.getJobIdsForGroup("headers")) <= 3 and time.perf_counter() - start < 60
+
+
+def test_headers_of_files_that_tasks_cannot_open(spark, tmp_dir, monkeypatch):
+    _write(tmp_dir, "a.csv", "\ufeffride_id,started_at\r\nR1,2025-01-02 03:04:05\r\n")
+    _write(tmp_dir, "b.csv", "\nR1\n")
+    files = csv_ingest.list_csv_files(spark, tmp_dir)
+    want = {("ride_id", "started_at"): files[:1], (): files[1:]}
+    assert csv_ingest.group_by_header(spark, files) == want
+
+    def unknown(path):
+        raise OSError(path)
+
+    monkeypatch.setattr(csv_ingest, "first_line", unknown)
+    assert csv_ingest.group_by_header(spark, files) == want
 
 
 def test_ride_numbers_of_many_digits_stay_apart(spark):

@@ -19,8 +19,10 @@ that names the file: a quote was left open.  Lines end with a newline or a carri
 from __future__ import annotations
 
 import sys
+from urllib.parse import quote
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -61,6 +63,21 @@ def ends_inside(line: str, inside: bool) -> bool:
             return False
 
 
+def first_line(path: str) -> str:
+    """The first line of a file that a task can open, '' if it has none."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme or scheme == "file":
+        system, name = fs.LocalFileSystem(), "/" + (rest if colon and scheme == "file" else path).lstrip("/")
+    else:
+        system, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+    held = b""
+    with system.open_input_stream(name, compression="detect") as stream:
+        while b"\n" not in held and (more := stream.read(1 << 16)):
+            held += more
+    line = held.split(b"\n", 1)[0].split(b"\r", 1)[0]
+    return line.decode("utf-8-sig")
+
+
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     raw = spark.read.option("lineSep", "\n").text(paths)
     return raw.select("value", F.col("_metadata.file_path").alias(PATH), F.col("_metadata.file_block_start").alias(SPLIT))
