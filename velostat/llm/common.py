@@ -146,6 +146,45 @@ def find_words(data: np.ndarray, in_word: np.ndarray) -> tuple[np.ndarray, np.nd
     return change[0::2], change[1::2]
 
 
+def word_parts(block: TextBlock, in_word: np.ndarray, overlap: int) -> Iterator[tuple[TextBlock, int]]:
+    """(block, bytes of its own): a block as it is, or one very long text in parts that end where a word
+    does, each with the ``overlap`` words that follow, so that the memory of word kernels is bounded.
+
+    A word belongs to the part in whose own bytes it starts; runs of up to ``overlap`` + 1
+    words lie within the part of their first word."""
+    size = len(block.data) - 1
+    if len(block.starts) > 1 or size <= 2 * BLOCK_BYTES:
+        yield block, size
+        return
+    begin = 0
+    while begin < size:
+        end = min(size, _end_of_word(block.data, in_word, begin + BLOCK_BYTES, size))
+        reach = end
+        for _ in range(overlap if end < size else 0):
+            reach = _end_of_word(block.data, in_word, _start_of_word(block.data, in_word, reach, size), size)
+        part = np.append(block.data[begin:reach], np.uint8(10))
+        yield TextBlock(block.first, block.last, part, np.zeros(1, np.int64), np.array([reach - begin])), end - begin
+        begin = end
+
+
+def _first_where(data: np.ndarray, table: np.ndarray, want: bool, at: int, size: int) -> int:
+    """First place from ``at`` on whose byte is in a word (``want``) or is not."""
+    while at < size:
+        found = np.flatnonzero(table[data[at : min(size, at + 4096)]] == want)
+        if len(found):
+            return at + int(found[0])
+        at += 4096
+    return size
+
+
+def _end_of_word(data: np.ndarray, table: np.ndarray, at: int, size: int) -> int:
+    return _first_where(data, table, False, at, size)
+
+
+def _start_of_word(data: np.ndarray, table: np.ndarray, at: int, size: int) -> int:
+    return _first_where(data, table, True, at, size)
+
+
 def encode_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """(code of each word, the distinct words), exactly."""
     offsets = np.zeros(len(starts) + 1, dtype=np.int32)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velostat.llm.common import LOWER, SPACE_SEPARATED, documents_of, find_words, mix64, signed, spark_schema, stage, text_blocks, text_key
+from velostat.llm.common import LOWER, SPACE_SEPARATED, documents_of, find_words, mix64, signed, spark_schema, stage, text_blocks, text_key, word_parts
 from velostat.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -49,13 +49,14 @@ _ENTRIES = pa.schema([("at", pa.int32()), ("value", pa.int64()), ("fp", pa.int64
 _SLOTS = pa.schema([("slot", pa.int64())])
 
 
-def block_fingerprints(block, shingle: int) -> np.ndarray:
-    """One unsigned fingerprint per text of the block."""
+def block_votes(block, shingle: int, own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles with each bit set, shingles) of each text of the block; with ``own``, of the
+    shingles whose first word starts in that many bytes of a single text."""
     n = len(block.starts)
     starts, ends = find_words(block.data, SPACE_SEPARATED)
-    out = np.zeros(n, dtype=np.uint64)
+    votes, total = np.zeros((n, 64), dtype=np.int64), np.zeros(n, dtype=np.int64)
     if not len(starts):
-        return out
+        return votes, total
     # words and the one separator after each: texts with single spaces
     keep = SPACE_SEPARATED[block.data]
     keep[ends] = True
@@ -69,6 +70,8 @@ def block_fingerprints(block, shingle: int) -> np.ndarray:
     last = np.searchsorted(starts, block.ends)  # exclusive
     count = last - first
     shingles = np.where(count >= shingle, count - shingle + 1, np.minimum(count, 1))
+    if own is not None:
+        shingles = np.minimum(np.maximum(count - shingle + 1, 0), np.searchsorted(starts, own))
     having = np.flatnonzero(shingles)
     offsets = np.concatenate([[0], np.cumsum(shingles[having])])
     begin = np.repeat(first[having], shingles[having]) + np.arange(offsets[-1]) - np.repeat(offsets[:-1], shingles[having])
@@ -77,17 +80,27 @@ def block_fingerprints(block, shingle: int) -> np.ndarray:
     spans = zip(at[begin].tolist(), (at[stop] + size[stop]).tolist())
     h = np.fromiter((digest(joined[a:b], SEED) for a, b in spans), dtype="<u8", count=int(offsets[-1]))
     # bit counts in slices, so that the unpacked bits stay small
-    votes = np.zeros((len(having), 64), dtype=np.int64)
-    row = np.repeat(np.arange(len(having)), shingles[having])
+    row = np.repeat(having, shingles[having])
     step = 1 << 17
     for a in range(0, len(h), step):
         part, rows = h[a : a + step], row[a : a + step]
         bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         cut = np.flatnonzero(np.diff(rows, prepend=-1))
         votes[rows[cut]] += np.add.reduceat(bits, cut, axis=0, dtype=np.int64)
-    ones = votes * 2 > shingles[having][:, None]
-    out[having] = np.packbits(ones, axis=1, bitorder="little").view("<u8").ravel()
-    return out
+    total[having] = shingles[having]
+    return votes, total
+
+
+def block_fingerprints(block, shingle: int) -> np.ndarray:
+    """One unsigned fingerprint per text of the block; a very long text votes part by part."""
+    parts = list(word_parts(block, SPACE_SEPARATED, shingle - 1)) if len(block.starts) == 1 else [(block, None)]
+    if len(parts) == 1:
+        votes, total = block_votes(block, shingle)
+    else:
+        votes, total = (sum(x) for x in zip(*[block_votes(part, shingle, own) for part, own in parts]))
+        if not total.any():  # fewer words than a shingle has
+            votes, total = block_votes(block, shingle)
+    return np.packbits(votes * 2 > total[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
