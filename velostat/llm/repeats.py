@@ -115,14 +115,14 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def scan_contexts(docs: DataFrame, tokens: Callable, window: int, gram: int, overlap: int | None) -> DataFrame:
-    """Step 1.  ``tokens`` maps a block to ``Tokens``; ``overlap`` (bytes) lets very
-    long texts be read in stretches."""
+def scan_contexts(docs: DataFrame, tokens: Callable, window: int, gram: int, parts: Callable) -> DataFrame:
+    """Step 1.  ``tokens`` maps a block to ``Tokens``; ``parts`` gives the stretches in which very
+    long texts are read, each with the number of tokens before it."""
 
     def run(batches):
         for batch in batches:
             for whole in text_blocks(batch.column("text")):
-                for origin, block in [(0, whole)] if overlap is None else pieces(whole, overlap):
+                for origin, block in parts(whole):
                     t = tokens(block)
                     found = t.contexts(window, gram)
                     if found is None:
@@ -146,13 +146,13 @@ def scan_contexts(docs: DataFrame, tokens: Callable, window: int, gram: int, ove
 
 
 def repeated_spans(
-    docs: DataFrame, tokens: Callable, compare: Callable, window: int, gram: int, other_document: bool, overlap: int | None
+    docs: DataFrame, tokens: Callable, compare: Callable, window: int, gram: int, other_document: bool, parts: Callable
 ) -> DataFrame:
     """(d, key, spans): the token spans of each document that repeat, as a list of (start, end).
 
     ``other_document``: a window repeats if it starts in a document with a smaller
     id; otherwise also if it starts earlier in the same document."""
-    contexts = stage(scan_contexts(docs, tokens, window, gram, overlap), "repeat-contexts")
+    contexts = stage(scan_contexts(docs, tokens, window, gram, parts), "repeat-contexts")
     twice = F.min("d") < F.max("d") if other_document else F.count(F.lit(1)) > 1
     counts = contexts.groupBy("a").agg(twice.alias("_twice"), (F.min("c") != F.max("c")).alias("mixed"))
     candidates = stage(counts.where("_twice").select("a", "mixed"), "repeat-anchors")

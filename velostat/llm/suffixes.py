@@ -21,6 +21,7 @@ document with one result; NULL doc_id comes last; an empty table gives an empty
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velostat.llm.common import byte_values, mix64, runs, signed, spark_schema, stage, unstage
-from velostat.llm.repeats import Tokens, keyed, repeated_spans, texts_with_regions, with_removals
+from velostat.llm.repeats import Tokens, keyed, pieces, repeated_spans, texts_with_regions, with_removals
 
 LENGTH = 100
 GRAM = 48
@@ -193,7 +194,7 @@ def _sorted_suffixes(length: int):
 
 def removal_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(d, key, spans) of the documents (as given by ``keyed``) that lose bytes."""
-    return repeated_spans(docs, byte_tokens, _sorted_suffixes(length), length, gram, other_document=False, overlap=length - 1)
+    return repeated_spans(docs, byte_tokens, _sorted_suffixes(length), length, gram, other_document=False, parts=partial(pieces, overlap=length - 1))
 
 
 def dedup_suffixes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
