@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,12 +45,14 @@ from velostat.llm.common import (
     text_blocks,
     text_key,
     word_hashes,
+    word_parts,
 )
 
 WINDOW = 10
 GRAM = 4
 MIN_BITMAP_BITS, MAX_BITMAP_BITS = 20, 28  # 128 KB to 32 MB
 
+_IN_WORD = LETTER_DIGIT[LOWER]  # before A-Z are lower-cased
 _SEED, _BYTE_BASE, _WORD_BASE = 7, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 _ITEMS = pa.schema(
@@ -151,40 +154,47 @@ def _document_fingerprints(docs: DataFrame, lengths: list[int], bitmap, bits: in
         flags = bitmap.value
         for batch in batches:
             for block in text_blocks(batch.column("text")):
-                w = _BlockWords(block)
-                owner, n_words = [np.arange(len(block.starts))], [w.last - w.first]
-                ns, hs, ats, begins, phrases = [], [], [], [], []
-                for n in lengths:
-                    start, chosen, h = w.windows(n, gram)
-                    new = np.flatnonzero(np.diff(chosen, prepend=-1))
-                    chosen, h = chosen[new], h[new]
-                    slot = (h >> np.uint64(64 - bits)).astype(np.int64)
-                    maybe = (flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-                    for c, v in zip(chosen[maybe], signed(h[maybe])):
-                        t = w.text[c]
-                        begin = max(int(w.first[t]), int(c) - n)
-                        ns.append(n)
-                        hs.append(v)
-                        ats.append(int(c - w.first[t]))
-                        begins.append(int(begin - w.first[t]))
-                        phrases.append(w.phrase(begin, min(int(w.last[t]), int(c) + n)))
-                        owner.append([t])
-                owner = pa.array(np.concatenate(owner) + block.first)
-                texts, more = len(block.starts), len(ns)
-                pad = [None] * texts
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").take(owner),
-                        batch.column("key").take(owner),
-                        pa.array(n_words[0].tolist() + [None] * more, type=pa.int64()),
-                        pa.array(pad + ns, type=pa.int32()),
-                        pa.array(pad + hs, type=pa.int64()),
-                        pa.array(pad + ats, type=pa.int64()),
-                        pa.array(pad + begins, type=pa.int64()),
-                        pa.array(pad + phrases, type=pa.string()),
-                    ],
-                    schema=_FOUND,
-                )
+                before = 0
+                for part, own in word_parts(block, _IN_WORD, max([*lengths, 1]) - 1):
+                    w = _BlockWords(part)
+                    whole = part is block
+                    mine = len(w.starts) if whole else int(np.searchsorted(w.starts, own))
+                    owner, ns, hs, ats, begins, phrases = [], [], [], [], [], []
+                    for n in lengths:
+                        start, chosen, h = w.windows(n, gram)
+                        inside = start < mine  # later ones are windows of the next part
+                        chosen, h = chosen[inside], h[inside]
+                        new = np.flatnonzero(np.diff(chosen, prepend=-1))
+                        chosen, h = chosen[new], h[new]
+                        slot = (h >> np.uint64(64 - bits)).astype(np.int64)
+                        maybe = (flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+                        for c, v in zip(chosen[maybe], signed(h[maybe])):
+                            t = w.text[c]
+                            begin = max(int(w.first[t]), int(c) - n)
+                            ns.append(n)
+                            hs.append(v)
+                            ats.append(int(c - w.first[t]) + before)
+                            begins.append(int(begin - w.first[t]) + before)
+                            phrases.append(w.phrase(begin, min(int(w.last[t]), int(c) + n)))
+                            owner.append(int(t))
+                    before += mine
+                    counts = (w.last - w.first).tolist() if whole else [before] * (own == len(part.data) - 1)
+                    owner = pa.array(list(range(len(counts))) + owner, type=pa.int64())
+                    owner = pc.add(owner, pa.scalar(block.first, pa.int64()))
+                    pad = [None] * len(counts)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("doc_id").take(owner),
+                            batch.column("key").take(owner),
+                            pa.array(counts + [None] * len(ns), type=pa.int64()),
+                            pa.array(pad + ns, type=pa.int32()),
+                            pa.array(pad + hs, type=pa.int64()),
+                            pa.array(pad + ats, type=pa.int64()),
+                            pa.array(pad + begins, type=pa.int64()),
+                            pa.array(pad + phrases, type=pa.string()),
+                        ],
+                        schema=_FOUND,
+                    )
 
     return docs.mapInArrow(run, spark_schema(_FOUND))
 
