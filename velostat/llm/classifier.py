@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velostat.llm.common import SPACE_SEPARATED, RollingHash, byte_values, documents_of, find_words, mix64, spark_schema, text_blocks
+from velostat.llm.common import SPACE_SEPARATED, RollingHash, byte_values, documents_of, find_words, mix64, spark_schema, text_blocks, word_parts
 
 BUCKETS = 1 << 17
 DIM = 8
@@ -41,36 +41,54 @@ _FEATURES = pa.schema(
 
 
 def features(block, buckets: int):
-    """(bucket, text) of every feature of a block, words first, then each n-gram size."""
-    starts, ends = find_words(block.data, SPACE_SEPARATED)
-    data = np.where(SPACE_SEPARATED[block.data], block.data, np.uint8(32))
-    rolling = RollingHash(_BASE)
-    prefix = rolling.prefix(byte_values(_SEED)[data])
-    text = np.searchsorted(block.starts, starts, side="right") - 1
+    """(bucket, text) of every feature of a block, words first, then each n-gram size, then the
+    runs that were there before; of a very long text in parts."""
+    again = [([], []) for _ in AGAIN]
     pick = np.uint64(buckets - 1)
-    yield (mix64(rolling.spans(prefix, starts, ends)) & pick).astype(np.int64), text
-    for n in GRAMS:
-        count = np.maximum(ends - starts + 2 - n, 0)  # the blank after the word belongs to its last n-gram
-        at = np.repeat(starts - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-        h = mix64(rolling.spans(prefix, at, at + n) + np.uint64(n))
-        yield (h & pick).astype(np.int64), np.repeat(text, count)
-    for n in AGAIN:
-        first = np.flatnonzero(text[n - 1 :] == text[: max(len(text) - n + 1, 0)])
-        h = mix64(rolling.spans(prefix, starts[first], ends[first + n - 1]) + text[first].astype(np.uint64))
+    for part, own in word_parts(block, SPACE_SEPARATED, max(AGAIN) - 1):
+        starts, ends = find_words(part.data, SPACE_SEPARATED)
+        data = np.where(SPACE_SEPARATED[part.data], part.data, np.uint8(32))
+        rolling = RollingHash(_BASE)
+        prefix = rolling.prefix(byte_values(_SEED)[data])
+        text = np.searchsorted(part.starts, starts, side="right") - 1
+        mine = len(starts) if part is block else int(np.searchsorted(starts, own))
+        for (hashes, owners), n in zip(again, AGAIN):
+            first = np.flatnonzero(text[n - 1 :] == text[: max(len(text) - n + 1, 0)])
+            first = first[first < mine]
+            hashes.append(mix64(rolling.spans(prefix, starts[first], ends[first + n - 1]) + text[first].astype(np.uint64)))
+            owners.append(text[first])
+        starts, ends, text = starts[:mine], ends[:mine], text[:mine]
+        yield (mix64(rolling.spans(prefix, starts, ends)) & pick).astype(np.int64), text
+        for n in GRAMS:
+            count = np.maximum(ends - starts + 2 - n, 0)  # the blank after the word belongs to its last n-gram
+            at = np.repeat(starts - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+            h = mix64(rolling.spans(prefix, at, at + n) + np.uint64(n))
+            yield (h & pick).astype(np.int64), np.repeat(text, count)
+    for (hashes, owners), n in zip(again, AGAIN):
+        h, text = np.concatenate(hashes), np.concatenate(owners)
         order = np.argsort(h, kind="stable")
-        seen = first[order[1:][h[order[1:]] == h[order[:-1]]]]
+        seen = order[1:][h[order[1:]] == h[order[:-1]]]
         bucket = int(mix64(np.array([_SEED + n], dtype=np.uint64))[0]) & (buckets - 1)
         yield np.full(len(seen), bucket, dtype=np.int64), text[seen]
 
 
+def feature_counts(block, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, bucket, count) of the distinct features of each text."""
+    if len(block.starts) == 1:
+        counts = sum(np.bincount(ids, minlength=buckets) for ids, _ in features(block, buckets))
+        ids = np.flatnonzero(counts)
+        return np.zeros(len(ids), dtype=np.int64), ids, counts[ids]
+    parts = list(features(block, buckets))
+    both = np.concatenate([p[1] for p in parts]) * buckets + np.concatenate([p[0] for p in parts])
+    both, counts = np.unique(both, return_counts=True)
+    return both // buckets, both % buckets, counts
+
+
 def _sample_features(rows: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for block in text_blocks(batch.column("text")):
-                parts = list(features(block, buckets))
-                ids, owner = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-                both, counts = np.unique(owner * buckets + ids, return_counts=True)
-                owner, ids = both // buckets, both % buckets
+                owner, ids, counts = feature_counts(block, buckets)
                 total = np.bincount(owner, weights=counts, minlength=len(block.starts))
                 cuts = np.searchsorted(owner, np.arange(len(block.starts) + 1)).astype(np.int32)
                 share = (counts / total[owner]).astype(np.float32)
