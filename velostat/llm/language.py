@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from velostat.llm.common import LOWER, spark_schema, stage, text_blocks, text_key, unstage
+from velostat.llm.repeats import pieces
 
 BUCKETS = 1 << 14
 SAMPLE = 400
@@ -65,8 +66,20 @@ def _trigrams(block) -> tuple[np.ndarray, np.ndarray]:
     return bucket[ok], owner[ok]
 
 
+def _long_text_counts(block) -> np.ndarray | None:
+    """Trigrams by bucket of a very long text, counted part by part; None for any other block."""
+    parts = [part for _, part in pieces(block, 2)]
+    if len(parts) == 1:
+        return None
+    return sum(np.bincount(_trigrams(part)[0], minlength=BUCKETS) for part in parts)
+
+
 def _text_counts(block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, bucket, count) of the distinct trigram buckets of each text."""
+    long = _long_text_counts(block)
+    if long is not None:
+        bucket = np.flatnonzero(long)
+        return np.zeros(len(bucket), dtype=np.int64), bucket, long[bucket]
     bucket, owner = _trigrams(block)
     both, count = np.unique(owner * BUCKETS + bucket, return_counts=True)
     return both // BUCKETS, both % BUCKETS, count
@@ -160,13 +173,20 @@ def text_scores(rows: DataFrame, model: Model) -> DataFrame:
             places = batch.column("place").to_numpy()
             for block in text_blocks(batch.column("text")):
                 n = len(block.starts)
-                bucket, owner = _trigrams(block)
-                count = np.bincount(owner, minlength=n)
-                sums = np.stack([np.bincount(owner, weights=row[bucket], minlength=n) for row in logs], axis=1)
+                long = _long_text_counts(block)
+                if long is None:
+                    bucket, owner = _trigrams(block)
+                    count = np.bincount(owner, minlength=n)
+                    sums = np.stack([np.bincount(owner, weights=row[bucket], minlength=n) for row in logs], axis=1)
+                else:
+                    count, sums = np.array([long.sum()]), (logs @ long)[None, :]
                 for i, place in enumerate(places[block.first : block.last].tolist()):
                     if place in held and count[i]:  # a text of the sample does not speak for itself
-                        a, b = np.searchsorted(owner, [i, i + 1])
-                        distinct, times = np.unique(bucket[a:b], return_counts=True)
+                        if long is None:
+                            a, b = np.searchsorted(owner, [i, i + 1])
+                            distinct, times = np.unique(bucket[a:b], return_counts=True)
+                        else:
+                            distinct, times = np.flatnonzero(long), long[long > 0]
                         own = _units(np.zeros(len(times), dtype=np.int64), times) / UNIT
                         rest, left = counts[:, distinct], totals.copy()
                         rest[held[place]] -= own
