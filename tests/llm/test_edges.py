@@ -204,15 +204,15 @@ def test_rules_score_against_brute_force(spark):
 
 def test_simhash_components_against_brute_force(spark):
     rng = np.random.default_rng(2)
-    centers = rng.integers(0, 1 << 63, 6, dtype=np.uint64)
-    fps = set(rng.integers(0, 1 << 63, 60, dtype=np.uint64).tolist())
+    centers = rng.integers(0, 1 << 64, 6, dtype=np.uint64)
+    fps = set(rng.integers(0, 1 << 64, 60, dtype=np.uint64).tolist())
     for c in centers.tolist():
         walk = c
         for _ in range(60):  # chains of neighbours, some far from their start
-            for b in rng.integers(0, 63, rng.integers(1, 5)):
+            for b in rng.integers(0, 64, rng.integers(1, 5)):
                 walk ^= 1 << int(b)
             fps.add(walk)
-        fps |= {c ^ (1 << b) for b in range(40)}
+        fps |= {c ^ (1 << b) for b in range(24, 64)}
     fps = np.array(sorted(fps), dtype=np.uint64)
     parent = {int(x): int(x) for x in fps}
 

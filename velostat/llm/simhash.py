@@ -1,18 +1,20 @@
-"""SimHash near-dedup with a byte-position inverted index.
+"""SimHash near-dedup with a byte-position inverted index and count filtering.
 
 Fingerprint: the words of the text (A-Z lower-cased) form shingles of
 ``SHINGLE_WORDS``; bit b of the 64-bit fingerprint is 1 if it is set in over half of the
 shingles' XXH64 values.
 
-Links: two fingerprints that differ in ``distance`` bits at most agree in
-8 - distance of their 8 bytes at least.  The inverted index lists every distinct
-fingerprint under each choice of that many byte positions with their bytes, so a pair
-that reaches the guaranteed count stands in one list at least.  (Lists of single
-bytes would hold 1/256 of all fingerprints each, and counting their pairs would
-grow with the square of the corpus.  So no shared bytes are tallied: every pair of a list has
-the guaranteed count.)  A list of two is one pair, whose bits are verified.  Longer lists are cut into chunks, and every pair of
-chunks is compared in a task of its own, which returns a spanning set of the
-verified links only.
+Links: two fingerprints that differ in ``distance`` bits at most agree in 8 - distance of their 8
+bytes at least.  The inverted index lists every distinct fingerprint under each choice of one
+byte position fewer (three of the eight for a distance of four), with their bytes; single bytes would
+make lists of 1/256 of all fingerprints.  So a pair to link stands in 8 - distance lists at least,
+one for each position left out, and a pair of fewer shared positional bytes in one at most.
+
+- Lists of two are pairs.  They are tallied by pair, and pairs that reach the guaranteed number of lists are
+  verified by their bits.  A pair to link that does not reach it stands in a longer list too.
+- Longer lists are cut into chunks, and every pair of chunks is compared in a task of its own: shared
+  positional bytes are tallied for each pair of fingerprints, pairs that reach the guaranteed
+  number are verified, and a spanning set of the links is returned.  No pairs are written out.
 
 Most lists hold one fingerprint.  So that the second pass over the index need not shuffle
 them, a bitmap of the longer lists, of fixed size, goes to the tasks that write it; entries
@@ -27,6 +29,7 @@ component unless all its documents lack one; an empty table gives an empty one.
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -176,9 +179,14 @@ def _spanning_links(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Links (member, smallest member) of the connected parts of one list's chunks."""
     m = len(fps)
     label = np.arange(m)
+    bits, octets = fps.view(np.uint64), np.ascontiguousarray(fps).view(np.uint8).reshape(m, 8)
     near = np.empty((m, m), dtype=bool)
     for a in range(0, m, 256):
-        near[a : a + 256] = np.bitwise_count(fps[a : a + 256, None] ^ fps[None, :]) <= distance
+        shared = (octets[a : a + 256, None, :] == octets[None, :, :]).sum(axis=2, dtype=np.uint8)
+        i, j = np.nonzero(shared >= 8 - distance)
+        near[a : a + 256] = False
+        ok = np.bitwise_count(bits[a + i] ^ bits[j]) <= distance
+        near[a + i[ok], j[ok]] = True
     while True:
         best = np.where(near, label[None, :], m).min(axis=1)
         best = np.minimum(best, best[best])
@@ -192,7 +200,9 @@ def fingerprint_links(distinct: DataFrame, distance: int = MAX_DISTANCE, chunk:
     """Links (u, v) whose components are those of all pairs within ``distance`` bits."""
     if not 0 < distance < 8:
         raise ValueError("the index needs a distance of 1 to 7 bits")
-    masks = [_byte_mask(c) for c in combinations(range(8), 8 - distance)]
+    positions = max(1, 7 - distance)
+    least = comb(8 - distance, positions)  # lists that a pair to link has in common
+    masks = [_byte_mask(c) for c in combinations(range(8), positions)]
     # few bytes a row before the explode, many after it: keep all partitions (dealt by "fp" itself,
     # Spark would take them for those of the aggregate below and merge them)
     partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -200,8 +210,8 @@ def fingerprint_links(distinct: DataFrame, distance: int = MAX_DISTANCE, chunk:
     listed = spread.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("at", "value"))
     lists = listed.groupBy("at", "value").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v"))
     lists = stage(lists.where("n > 1"), "simhash-lists")
-    u, v = F.col("u"), F.col("v")
-    pairs = lists.where("n = 2").where(F.bit_count(u.bitwiseXOR(v)) <= distance).select("u", "v").distinct()
+    tallied = lists.where("n = 2").groupBy("u", "v").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least)
+    pairs = tallied.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance).select("u", "v")
 
     many = lists.where("n > 2").select("at", "value", F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("parts"))
     entries = _flagged_entries(spread, masks, _list_bitmap(many))
