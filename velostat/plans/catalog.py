@@ -68,6 +68,9 @@ REGISTRY: dict[str, Query] = {
     # curation and the station dimension
     "curate_trips": _q(lambda s, d: curate.curate_trips(b.raw_rides(s, d))),
     "dedupe_rides": _q(lambda s, d: curate.dedupe_rides(b.raw_rides(s, d))),
+    # the same with few rows shuffled, for stored trips
+    "curate_trips_narrow": _q(lambda s, d: curate.curate_trips(b.raw_rides(s, d), narrow=True)),
+    "dedupe_rides_narrow": _q(lambda s, d: curate.dedupe_rides(b.raw_rides(s, d), narrow=True)),
     "derive_stations": _q(
         lambda s, d: b.stations(s, d).select(
             "station_id",
