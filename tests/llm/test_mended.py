@@ -86,3 +86,17 @@ def test_rules_do_not_depend_on_the_join(spark, bits, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == want
+
+
+def test_one_passage_after_many_beginnings(spark):
+    """Suffixes that are equal from the anchor on go to several buckets; the result stays."""
+    from velostat.llm import suffixes
+
+    from .test_edges import brute_suffixes
+
+    rng = np.random.default_rng(9)
+    passage = "".join(rng.choice(list("abcdefgh"), 60))
+    texts = ["".join(rng.choice(list("xyz"), 50)) + passage + "".join(rng.choice(list("uvw"), 5)) for _ in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(4)
+    got = {r.doc_id: (r.n_removed, r.kept_sha256) for r in suffixes.dedup_suffixes(docs, 24, 10).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_suffixes(texts, 24)

@@ -180,7 +180,8 @@ def _sorted_suffixes(length: int):
     def compare(texts: DataFrame) -> DataFrame:
         regions = stage(texts.mapInArrow(_region_rows(length), spark_schema(_REGIONS)), "suffix-regions")
         suffix = F.expr("substring(context, off + 1)")  # from the anchor on
-        buckets = regions.repartitionByRange(suffix).sortWithinPartitions(suffix)
+        # equal suffixes of many contexts are split too: an anchor at the edge of a bucket is compared across
+        buckets = regions.repartitionByRange(suffix, "d", "key", "lo").sortWithinPartitions(suffix)
         found = stage(buckets.mapInArrow(bucket, spark_schema(_RESULT)), "suffix-sorted")
         unstage(regions)
         place = F.struct("d", "key", "at")
