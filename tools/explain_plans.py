@@ -51,12 +51,16 @@ def main():
     base = scratch_dir(spark, "plans")
     tables.write_silver(b.volume_rides(spark, sf_dir, partitions=16), b.supplier_stations(spark, sf_dir), f"{base}/silver")
     raw, stations = tables.read_silver(spark, f"{base}/silver")
-    tables.write_curated_trips(raw, f"{base}/trips")
+    good = tables.read_good_trips(spark, f"{base}/silver")
+    tables.write_curated_trips(good, f"{base}/trips")
     trips = spark.read.parquet(f"{base}/trips")
     days = activity.stage_rider_days(activity.rider_day_activity(trips, *b.VOLUME_WINDOW), f"{base}/days")
+    bitmaps = activity.stage_day_bitmaps(days, f"{base}/bitmaps")
     lo, hi = b.VOLUME_WINDOW
     plans = {
-        "curate_trips (silver -> gold, before the write's range exchange)": curate.curate_trips(raw),
+        "curate_trips (any trips)": curate.curate_trips(raw),
+        "curate_trips, narrow (silver -> gold, before the exchange by day)": curate.curate_trips(good, narrow=True),
+        "active_proxies, weeks (staged day bitmaps)": activity.active_proxies(bitmaps, "week"),
         "rider_day_activity (gold)": activity.rider_day_activity(trips, lo, hi),
         "weekly_active_proxy (staged rider-days)": activity.weekly_active_proxy(days),
         "mom_growth (staged rider-days)": activity.mom_growth(activity.monthly_active_proxy(days)),
@@ -79,6 +83,8 @@ def main():
         "What to look for:\n",
         "- `curate_trips`: a `WindowGroupLimit` (partial) sits below the `Exchange`, so a",
         "  repeated ride id leaves each map task as one row.",
+        "- `curate_trips`, narrow: the scan is the `verdict=good` partition; trips whose id does not repeat",
+        "  reach the result without an exchange (the flags are a subquery that counts 8-byte hashes).",
         "- `rider_day_activity` and `peak_hours`: the gold scan shows `PartitionFilters` on",
         "  `start_month` plus `PushedFilters` on `started_at`.",
         "- `duration_percentiles` and `segment_usage`: a hashed histogram",
