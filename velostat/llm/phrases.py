@@ -60,6 +60,7 @@ LONGEST = 4096  # words a chunk owns at most
 STRETCH = 1 << 21  # bytes of one text parsed at a time
 BLOCK_BYTES = 4 << 20
 SHARD_ENTRIES = 1 << 20  # hashes meant for one shard
+RANK_PARTS = 16  # parts of a language that are ranked side by side
 
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _IN_WORD = byte_class(PIECE_ENDS + b"\x20\x09")
@@ -378,7 +379,10 @@ def collocations(
         found = lowest.join(longer, ["lang", "phrase"], "left").where(
             F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * nested_percent)
         )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    found = found.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
-    ranked = found.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= max_rank)
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    found = found.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)).alias("part"))
+    # the best of parts of a language first, so that its one last task ranks RANK_PARTS * max_rank phrases at most
+    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= max_rank)
+    whole = Window.partitionBy("lang").orderBy(*order)
+    ranked = best.withColumn("rank", F.row_number().over(whole).cast("bigint")).where(F.col("rank") <= max_rank)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
