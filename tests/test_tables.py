@@ -109,8 +109,9 @@ def test_curated_load_deals_time_to_tasks(spark, raw, tmp_dir, monkeypatch):
     at = F.when(F.xxhash64("ride_id") % 3 == 0, F.lit("2024-01-05 12:00:00").cast("timestamp")).otherwise(F.col("started_at"))
     trips = raw.withColumn("started_at", at).withColumn("ended_at", F.col("started_at") + F.expr("interval 5 minutes"))
     want = curate.curate_trips(trips)
-    for days in (36_525, 0):
+    for days, least in ((36_525, 10_000_000), (0, 0)):
         monkeypatch.setattr(tables, "MOST_DAYS", days)
+        monkeypatch.setattr(tables, "NARROW_ROWS", least)
         path = f"{tmp_dir}/trips{days}"
         assert tables.write_curated_trips(trips, path) == want.count()
         back = tables.read_curated_trips(spark, path)
@@ -126,7 +127,8 @@ def test_the_load_runs_its_dedup_once(spark, raw, tmp_dir):
     """No range sampling: the plan that is written has a single window pair and no sampled exchange."""
     tables.write_silver(raw, b.stations(spark, SF_SMALL), f"{tmp_dir}/silver")
     good = tables.read_good_trips(spark, f"{tmp_dir}/silver")
-    task, tasks = tables.time_tasks(good)
+    task, tasks, total = tables.time_tasks(good)
+    assert total == good.count()
     plan = curate.curate_trips(good, narrow=True).repartitionById(tasks, task)._jdf.queryExecution().toString()
     assert "rangepartitioning" not in plan and "verdict" in plan
     physical = plan.split("== Physical Plan ==")[1]

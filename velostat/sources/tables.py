@@ -8,6 +8,7 @@ the trips to load and the table of rejects, and the load reads the good ones alo
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,8 @@ from velostat.sources.contracts import CURATED_TRIPS, SILVER_TRIPS, STATIONS
 MAX_RECORDS_PER_FILE = 5_000_000
 # Rows meant for one task of the curated write, and the most days that are counted one by one.
 ROWS_PER_TASK, MOST_DAYS = 2_000_000, 36_525
+# Trips from which a load deduplicates narrowly.
+NARROW_ROWS = 10_000_000
 
 GOOD, REJECTED = "good", "rejected"
 MONTH = "start_month"
@@ -120,25 +123,31 @@ def start_month(started_at: str = "started_at") -> Column:
     return F.date_format(utc_to_local(started_at), "yyyy-MM")
 
 
-def time_tasks(trips: DataFrame) -> tuple[Column, int]:
-    """The task of the curated write for each trip, and the number of tasks.
+def time_tasks(trips: DataFrame) -> tuple[Column, int, int]:
+    """The task of the curated write for each trip, the number of tasks, and of trips.
 
     A scan of the start times alone counts the trips of each local day.  Days in a row share a task
     up to a task's number of rows; a busier day gets several tasks, among which its trips go by their start and
     ride id, so that not even a single hot instant lands in one task.  Nothing is sampled from the
-    deduplicated trips, so these are worked out once.  The driver sees one row per day (per
-    month, where the times span more than ``MOST_DAYS``)."""
+    deduplicated trips, so these are worked out once.  The driver sees one row per day; where
+    the days span more than ``MOST_DAYS``, they are dealt by month."""
     spark = trips.sparkSession
     local = utc_to_local("started_at")
-    span = trips.agg(F.datediff(F.max(F.to_date(local)), F.min(F.to_date(local)))).first()[0]
-    by_month = span is not None and span > MOST_DAYS
-    cell = F.year(local) * 12 + F.month(local) if by_month else F.unix_date(F.to_date(local))
-    counts = sorted(trips.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect())
+    day = F.unix_date(F.to_date(local))
+    counts = sorted(trips.groupBy(day.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect())
     if not counts:
-        return F.lit(0), 1
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return F.lit(0), 1, 0
+    cell = day
+    if counts[-1][0] - counts[0][0] > MOST_DAYS:
+        cell = F.year(local) * 12 + F.month(local)
+        months: dict[int, int] = {}
+        for at, n in counts:  # months since year 0, as above
+            month = int(np.datetime64(at, "D").astype("datetime64[M]").astype(int)) + 1970 * 12 + 1
+            months[month] = months.get(month, 0) + n
+        counts = sorted(months.items())
+    most, total = int(spark.conf.get("spark.sql.shuffle.partitions")), sum(n for _, n in counts)
     # at most ``most`` tasks for small loads, more where the rows ask for it
-    rows = max(1, min(ROWS_PER_TASK, -(-sum(n for _, n in counts) // most)))
+    rows = max(1, min(ROWS_PER_TASK, -(-total // most)))
     origin = counts[0][0]
     first, width = [0] * (counts[-1][0] - origin + 1), [1] * (counts[-1][0] - origin + 1)
     task = filled = 0
@@ -153,18 +162,19 @@ def time_tasks(trips: DataFrame) -> tuple[Column, int]:
     place = cell - F.lit(origin)
     wide = F.get(tasks.select("width").scalar(), place)
     spread = F.pmod(F.xxhash64("started_at", "ride_id"), wide.cast("bigint")).cast("int")
-    return F.get(tasks.select("first").scalar(), place) + spread, max(f + w for f, w in zip(first, width))
+    return F.get(tasks.select("first").scalar(), place) + spread, max(f + w for f, w in zip(first, width)), total
 
 
-def write_curated_trips(normalized: DataFrame, path: str, narrow: bool = True) -> int:
+def write_curated_trips(normalized: DataFrame, path: str, narrow: bool | None = None) -> int:
     """Curate and write trips partitioned by local start month; returns the
     row count, taken by ``observe`` during the same write (no second pass).
 
     Each task writes some days in a row (or a share of one busy day), sorted by time: a month folder
     receives a few files instead of one per shuffle partition, and file and row-group
-    statistics on ``started_at`` serve time filters.  ``narrow``: see ``dedupe_rides``; the trips
-    are read for their start times and for their ids before they are read whole."""
-    task, tasks = time_tasks(curation_filter(normalized.select(*TRIP_COLUMNS)))
+    statistics on ``started_at`` serve time filters.  ``narrow``: see ``dedupe_rides``; by
+    default from ``NARROW_ROWS`` trips on, where the shuffle it saves is worth another scan of the ids."""
+    task, tasks, total = time_tasks(curation_filter(normalized.select(*TRIP_COLUMNS)))
+    narrow = total >= NARROW_ROWS if narrow is None else narrow
     curated = CURATED_TRIPS.enforced(curate_trips(normalized, narrow)).withColumn(MONTH, start_month())
     dealt = curated.repartitionById(tasks, task).sortWithinPartitions(MONTH, "started_at")
     obs = Observation("curated_trips")
