@@ -89,7 +89,7 @@ def test_rules_do_not_depend_on_the_join(spark, bits, monkeypatch):
 
 
 def test_one_passage_after_many_beginnings(spark):
-    """Suffixes that are equal from the anchor on go to several buckets; the result stays."""
+    """Many contexts whose suffixes are equal from the anchor on."""
     from velostat.llm import suffixes
 
     from .test_edges import brute_suffixes
