@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from velostat.llm import decontaminate, quality_rules, simhash, substrings, tokens
+from velostat.llm.common import text_blocks
 from velostat.llm.queries import TOKENIZER
 
 SCHEMA = "doc_id bigint, text string"
@@ -43,6 +44,23 @@ def test_random_texts_and_long_ones(library, monkeypatch):
     assert encoded([long]) == [library.encode(long, add_special_tokens=False).ids]
 
 
+def test_ascii_words_are_learnt_once_beside_other_letters(library):
+    texts = ["Été WORD Word word. É word,", "", None, "<|endoftext|>A a <|ENDOFTEXT|>"]
+    encoder = tokens.Encoder(TOKENIZER)
+    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(encoder.known) == 8  # Été word . É , a and two with special strings
+
+
+def test_pieces_of_many_blocks_are_looked_up_at_once(library, monkeypatch):
+    texts = [" ".join(f"w{k * j % 97}x" for j in range(40)) for k in range(60)]
+    calls, learn = [], tokens.Encoder._learn
+    monkeypatch.setattr(tokens.Encoder, "_learn", lambda self, pieces: (calls.append(len(pieces)), learn(self, pieces))[1])
+    monkeypatch.setattr(tokens, "text_blocks", lambda column: text_blocks(column, 256))
+    assert encoded(texts) == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert calls == [97]
+
+
 def test_words_that_polynomial_hashes_confuse(spark):
     """Thue-Morse words of 1,024 letters and their complements are different words."""
     bits = [bin(k).count("1") & 1 for k in range(1024)]

@@ -15,12 +15,12 @@ file systems: file, hdfs, s3, gs).
 
 Encoding: the normalizer and the pre-tokenizer never join text across a space or a
 newline, so a text's ids are those of its space-separated pieces in order.  The
-different pieces of a block of texts are encoded by the library once and remembered (up to
-``REMEMBERED``) for all tasks of a worker process; the block's ids are gathered from that memory
-at once.  Fewer pieces differ once ASCII texts are lower-cased, as the normalizer does anyway, and
-stops and commas that close a word are pieces of their own, as the pre-tokenizer has them.  That is
-done after ASCII letters only: after others, the normalizer may still move a mark.  A very long
-text is encoded in stretches.
+different pieces of some blocks of texts are encoded by the library once and remembered (up to
+``REMEMBERED`` and ``REMEMBERED_BYTES``) for all tasks of a worker process, in two Arrow arrays; the blocks'
+ids are gathered from that memory at once.  Fewer pieces differ once ASCII ones are lower-cased, as the
+normalizer does anyway, and stops and commas that close a word are pieces of their own, as the
+pre-tokenizer has them.  That is done after ASCII letters only: after others, the normalizer may still
+move a mark.  A very long text is encoded in stretches.
 
 Defined results: NULL text counts as empty: its ids are the end id alone; NULL doc_id
 comes first; rows with the same doc_id are documents of their own, ordered by a
@@ -36,21 +36,26 @@ import types
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from velostat.llm.common import BLOCK_BYTES, LOWER, TextBlock, byte_class, documents_of, encode_words, find_words, spark_schema, stage, text_blocks
+from velostat.llm.common import BLOCK_BYTES, TextBlock, byte_class, documents_of, encode_words, find_words, spark_schema, stage, text_blocks
 from velostat.session import scratch_dir
 
 LENGTH = 2048
 BATCH = 256
 END_ID = 2
 REMEMBERED = 1_400_000
+REMEMBERED_BYTES = 1 << 25  # of pieces; the worker keeps them between tasks, so this counts against the executor
+LEARNED_AT_ONCE = 1 << 12
+LOOKED_UP_AT_ONCE = 8 * BLOCK_BYTES
 _SPACE_OR_NEWLINE = byte_class(b" \n")
 _IS_CLOSING, _IS_LETTER = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _IS_CLOSING[list(b".,")] = True
@@ -87,9 +92,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        """Known pieces by number; number k has the ids from ``at[k]`` to ``at[k + 1]`` in ``ids``."""
-        self.known: dict[str, int] = {}
-        self.ids, self.at = np.zeros(1 << 16, dtype=self.dtype), np.zeros(1 << 16, dtype=np.int64)
+        """Known pieces and, in the same order, the bytes of their ids."""
+        self.known, self.ids = pa.array([], type=pa.string()), pa.array([], type=pa.large_binary())
 
     @classmethod
     def of_worker(cls, path: str) -> Encoder:
@@ -99,40 +103,46 @@ class Encoder:
             state[path] = cls(path)
         return state[path]
 
-    def _learn(self, pieces: list[str]) -> None:
-        n = len(self.known)
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        lists = [np.array(e.ids, dtype=self.dtype) for e in found]
-        ends = self.at[n] + np.cumsum([len(x) for x in lists])
-        while len(self.at) < n + len(pieces) + 1:
-            self.at = np.append(self.at, np.zeros_like(self.at))
-        while len(self.ids) < ends[-1]:
-            self.ids = np.append(self.ids, np.zeros_like(self.ids))
-        self.ids[self.at[n] : ends[-1]] = np.concatenate(lists)
-        self.at[n + 1 : n + 1 + len(pieces)] = ends
-        self.known.update(zip(pieces, range(n, n + len(pieces))))
-
-    def _numbers(self, pieces: list[str]) -> np.ndarray:
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
+    def _learn(self, pieces: pa.Array) -> None:
+        parts = [self.ids]
+        for a in range(0, len(pieces), LEARNED_AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(pieces.slice(a, LEARNED_AT_ONCE).to_pylist(), add_special_tokens=False)
+            lists = [e.ids for e in found]
+            ends = np.cumsum([0, *map(len, lists)])
+            ids = np.fromiter(chain.from_iterable(lists), dtype=self.dtype, count=ends[-1])
+            buffers = [None, pa.py_buffer(ends * self.dtype.itemsize), pa.py_buffer(ids)]
+            parts.append(pa.Array.from_buffers(pa.large_binary(), len(lists), buffers))
+        self.known, self.ids = pa.concat_arrays([self.known, pieces]), pa.concat_arrays(parts)
+
+    def _lowered(self, pieces: pa.Array) -> pa.Array:
+        """The pieces, ASCII ones in lower case if the tokenizer does that anyway (not in strings of special tokens)."""
+        if not self.lowers:
+            return pieces
+        plain = pc.and_not(pc.string_is_ascii(pieces), pc.match_substring(pieces, "<|"))
+        return pc.if_else(plain, pc.ascii_lower(pieces), pieces)
+
+    def _ids_of(self, pieces: pa.Array) -> pa.Array:
+        """The bytes of the ids of each piece."""
+        coded = self._lowered(pieces).dictionary_encode()
+        wanted = coded.dictionary
+        # the few wanted pieces are hashed and the known ones looked up among them
+        at = pc.index_in(self.known, value_set=wanted)
+        seen = at.is_valid().to_numpy(zero_copy_only=False)
+        number = np.full(len(wanted), -1, dtype=np.int64)
+        number[at.drop_null().to_numpy()] = np.flatnonzero(seen)
+        new = np.flatnonzero(number < 0)
+        unknown = wanted.take(pa.array(new))
+        if len(self.known) + len(new) > REMEMBERED or self.known.nbytes + unknown.nbytes > REMEMBERED_BYTES:
             self._forget()
-            new = pieces
-        if new:
-            self._learn(new)
-        return np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-
-    def encode_block(self, block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts of a block, number of ids of each)."""
+            new, unknown = np.arange(len(wanted)), wanted
+        if len(new):
+            number[new] = len(self.known) + np.arange(len(new))
+            self._learn(unknown)
+        return self.ids.take(pa.array(number[coded.indices.to_numpy()]))
+
+    def _pieces(self, block: TextBlock) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """(code of each piece of a block, the different pieces, place of each text's first piece and of the end)."""
         data = block.data
-        if self.lowers:
-            plain = np.logical_not(np.logical_or.reduceat(data >= 128, block.starts))
-            raw = data.tobytes()
-            if b"<|" in raw:  # not in strings of special tokens
-                plain &= np.array([b"<|" not in raw[a:b] for a, b in zip(block.starts, block.ends)])
-            if plain.all():
-                data = LOWER[data]
-            elif plain.any():
-                data = np.where(np.repeat(plain, block.ends - block.starts + 1), LOWER[data], data)
         starts, ends = find_words(data, _SPACE_OR_NEWLINE)
         if self.splits:
             # a full stop or comma after an ASCII letter, before a separator: a token of its own
@@ -140,29 +150,51 @@ class Encoder:
             closing = closing[_IS_LETTER[data[ends[closing] - 2]]]
             cut = ends[closing] - 1
             starts, ends = np.sort(np.append(starts, cut)), np.sort(np.append(ends, cut))
-        if not len(starts):
-            return np.zeros(0, dtype=self.dtype), np.zeros(len(block.starts), dtype=np.int64)
         codes, pieces = encode_words(data, starts, ends)
-        number = self._numbers(pieces.to_pylist())[codes]
-        size = self.at[number + 1] - self.at[number]
-        before = np.cumsum(size) - size
-        ids = self.ids[np.repeat(self.at[number] - before, size) + np.arange(before[-1] + size[-1])]
-        total = np.append(before, len(ids))
-        return ids, np.diff(total[np.append(np.searchsorted(starts, block.starts), len(starts))])
+        return codes, pieces, np.append(np.searchsorted(starts, block.starts), len(starts))
+
+    def encode_blocks(self, blocks: list[TextBlock]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids of all texts of a block, number of ids of each) for each of some blocks, whose pieces are looked up at once."""
+        split = [self._pieces(block) for block in blocks]
+        known, begin = self._ids_of(pa.concat_arrays([pieces for _, pieces, _ in split])), 0
+        for codes, pieces, first in split:
+            _, ends, ids = known.slice(begin, len(pieces)).take(pa.array(codes)).buffers()
+            begin += len(pieces)
+            at = np.frombuffer(ends, dtype=np.int64)[first] // self.dtype.itemsize
+            yield np.frombuffer(ids or b"", dtype=self.dtype)[: at[-1]], np.diff(at)
 
     def encode_column(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text; a long text is encoded in stretches."""
-        for block in text_blocks(texts):
-            if len(block.starts) > 1 or len(block.data) <= 2 * BLOCK_BYTES:
-                ids, sizes = self.encode_block(block)
-                yield from np.split(ids, np.cumsum(sizes)[:-1])
+        for blocks in _grouped(text_blocks(texts)):
+            if _is_long(blocks[0]):
+                yield np.concatenate([ids for parts in _grouped(_cut(blocks[0])) for ids, _ in self.encode_blocks(parts)])
             else:
-                yield np.concatenate([self.encode_block(part)[0] for part in _cut(block)])
+                for ids, sizes in self.encode_blocks(blocks):
+                    yield from np.split(ids, np.cumsum(sizes)[:-1])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [ids.tobytes() for ids in self.encode_column(pa.array(texts, type=pa.string()))]
 
 
+def _is_long(block: TextBlock) -> bool:
+    return len(block.starts) == 1 and len(block.data) > 2 * BLOCK_BYTES
+
+
+def _grouped(blocks: Iterator[TextBlock]) -> Iterator[list[TextBlock]]:
+    """Consecutive blocks of ``LOOKED_UP_AT_ONCE`` bytes or a little more; a long text stands alone."""
+    group: list[TextBlock] = []
+    for block in blocks:
+        if group and (_is_long(block) or sum(len(b.data) for b in group) >= LOOKED_UP_AT_ONCE):
+            yield group
+            group = []
+        group.append(block)
+        if _is_long(block):
+            yield group
+            group = []
+    if group:
+        yield group
+
+
 def _cut(block: TextBlock) -> Iterator[TextBlock]:
     """A long text in stretches that end where words do."""
     raw = block.data.tobytes()
@@ -257,6 +289,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             system.move(part, name)
             row = [[shard], [name if folder.startswith(("/", "file:")) else f"{folder}/{name.rpartition('/')[2]}"]]
             row += [[writer.n_tokens], [writer.n_sequences], [writer.n_docs]]
+            pa.default_memory_pool().release_unused()  # the worker lives on: other tasks of the executor need the memory
             yield pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip(row, _SHARDS)], schema=_SHARDS)
 
     shards = stage(docs.mapInArrow(run, spark_schema(_SHARDS)), "token-shards")
