@@ -1,12 +1,14 @@
 """Cases that earlier versions got wrong: each against the definition."""
 
 import random
+import tracemalloc
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from velostat.llm import decontaminate, quality_rules, simhash, substrings, tokens
+from velostat.llm import decontaminate, language, quality_rules, simhash, substrings, tokens
 from velostat.llm.common import text_blocks
 from velostat.llm.queries import TOKENIZER
 
@@ -61,6 +63,50 @@ def test_pieces_of_many_blocks_are_looked_up_at_once(library, monkeypatch):
     assert calls == [97]
 
 
+def held_bytes():
+    return tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+
+
+def test_remembered_pieces_take_little_memory(library, monkeypatch):
+    words = [f"piece{k}" for k in range(50_000)]
+    tracemalloc.start()
+    try:
+        encoder = tokens.Encoder(TOKENIZER)
+        before = held_bytes()
+        encoder.encode([" ".join(words)])
+        assert held_bytes() - before < 80 * len(words)
+    finally:
+        tracemalloc.stop()
+    # bytes are bounded, not only their number: few long pieces are forgotten too
+    monkeypatch.setattr(tokens, "REMEMBERED_BYTES", 1 << 16)
+    monkeypatch.setattr(tokens, "LOOKED_UP_AT_ONCE", 1)
+    monkeypatch.setattr(tokens, "text_blocks", lambda column: text_blocks(column, 1 << 12))
+    texts = [chr(0x4E00 + k) * 1000 for k in range(60)]
+    encoder = tokens.Encoder(TOKENIZER)
+    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.known.nbytes <= 1 << 16
+
+
+def test_scoring_the_language_of_many_texts_takes_little_memory(monkeypatch):
+    """What is held at once does not grow with the texts of a batch, and the size of blocks changes no score."""
+    rng = np.random.default_rng(3)
+    n = 600
+    texts = ["".join(chr(c) for c in rng.integers(97, 123, 10_000)) for _ in range(n)]
+    ids, none = pa.array(range(n), type=pa.int64()), pa.array([None] * n, type=pa.string())
+    batch = pa.RecordBatch.from_arrays([ids, ids, none, none, none, none, pa.array(texts), ids], names=[*language._KEPT, "text", "place"])
+    model = language.Model(["a", "b"], rng.integers(1_000, 2_000, (2, language.BUCKETS)).astype(float), {5: [0], 7: [0, 1]})
+    tracemalloc.start()
+    try:
+        found = pa.Table.from_batches(language._scored([batch], model))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 50_000_000
+    monkeypatch.setattr(language, "SCORED_BYTES", 1 << 21)
+    assert found.to_pylist() == pa.Table.from_batches(language._scored([batch], model)).to_pylist()
+
+
 def test_words_that_polynomial_hashes_confuse(spark):
     """Thue-Morse words of 1,024 letters and their complements are different words."""
     bits = [bin(k).count("1") & 1 for k in range(1024)]

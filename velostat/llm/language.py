@@ -26,6 +26,7 @@ one.  Without any labelled text there is no model: lang is NULL, confidence 0.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -45,6 +46,7 @@ MIN_CONFIDENCE = 0.5
 UNKNOWN = 1e-3
 UNIT = 1 << 20
 FUSED_CELLS = 1 << 18  # rows x languages that are fused at once
+SCORED_BYTES = 1 << 19  # of texts whose trigrams are held at once, in some 60 bytes of memory for each
 
 # bytes that trigrams are made of: letters (A-Z lower-cased) and everything beyond ASCII
 _LETTER = np.zeros(256, dtype=bool)
@@ -128,7 +130,7 @@ def fit(texts: DataFrame, sample: int = SAMPLE) -> Model | None:
     def run(batches):
         for batch in batches:
             lang = batch.column("lang")
-            for block in text_blocks(batch.column("text")):
+            for block in text_blocks(batch.column("text"), SCORED_BYTES):
                 owner, bucket, count = _text_counts(block)
                 names = lang.take(pa.array(owner + block.first))
                 yield pa.RecordBatch.from_arrays([names, pa.array(bucket), pa.array(_units(owner, count))], schema=schema)
@@ -153,58 +155,66 @@ def _log_table(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
     return np.log(np.concatenate([p, (p.mean(axis=0, keepdims=True) + even) / 2, even]))
 
 
+_KEPT = ("id", "key", "host", "domain", "suffix", "declared")
+_SCORES = pa.schema(
+    [("id", pa.int64()), ("key", pa.int64())]
+    + [(c, pa.string()) for c in _KEPT[2:]]
+    + [("likelihood", pa.list_(pa.float64())), ("vote", pa.int32())]
+)
+
+
+def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Batches of ``_SCORES`` for batches of (``_KEPT``, text, place)."""
+    _, counts, held = model
+    size, totals = len(counts), counts.sum(axis=1)
+    logs = _log_table(counts, totals)
+    for batch in batches:
+        places = batch.column("place").to_numpy()
+        for block in text_blocks(batch.column("text"), SCORED_BYTES):
+            n = len(block.starts)
+            long = _long_text_counts(block)
+            if long is None:
+                bucket, owner = _trigrams(block)
+                count = np.bincount(owner, minlength=n)
+                sums = np.stack([np.bincount(owner, weights=row[bucket], minlength=n) for row in logs], axis=1)
+            else:
+                count, sums = np.array([long.sum()]), (logs @ long)[None, :]
+            for i, place in enumerate(places[block.first : block.last].tolist()):
+                if place in held and count[i]:  # a text of the sample does not speak for itself
+                    if long is None:
+                        a, b = np.searchsorted(owner, [i, i + 1])
+                        distinct, times = np.unique(bucket[a:b], return_counts=True)
+                    else:
+                        distinct, times = np.flatnonzero(long), long[long > 0]
+                    own = _units(np.zeros(len(times), dtype=np.int64), times) / UNIT
+                    rest, left = counts[:, distinct], totals.copy()
+                    rest[held[place]] -= own
+                    left[held[place]] -= own.sum()
+                    sums[i] = _log_table(rest, left) @ times
+            sums = sums / (1 + count / FULL)[:, None]
+            unknown = sums[:, size:].max(axis=1) + np.log(UNKNOWN / (1 - UNKNOWN))
+            sums = np.concatenate([sums[:, :size], unknown[:, None]], axis=1)
+            best = sums.argmax(axis=1).astype(np.int32)
+            rows_ = slice(block.first, block.last)
+            cuts = np.arange(n + 1, dtype=np.int32) * (size + 1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c)[rows_] for c in _KEPT]
+                + [pa.ListArray.from_arrays(cuts, pa.array(sums.ravel())), pa.array(best, mask=(count == 0) | (best == size))],
+                schema=_SCORES,
+            )
+    pa.default_memory_pool().release_unused()  # the worker lives on: other tasks of the executor need the memory
+
+
 def text_scores(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` (id, key, text, host, domain, suffix, declared) with the text replaced by its
     log-likelihoods (the unknown hypothesis last, with its prior odds) and its vote (the index of the
     best language, NULL without trigrams or where unknown is better)."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    kept = ("id", "key", "host", "domain", "suffix", "declared")
-    schema = pa.schema(
-        [("id", pa.int64()), ("key", pa.int64())]
-        + [(c, pa.string()) for c in kept[2:]]
-        + [("likelihood", pa.list_(pa.float64())), ("vote", pa.int32())]
-    )
 
     def run(batches):
-        _, counts, held = shared.value
-        size, totals = len(counts), counts.sum(axis=1)
-        logs = _log_table(counts, totals)
-        for batch in batches:
-            places = batch.column("place").to_numpy()
-            for block in text_blocks(batch.column("text")):
-                n = len(block.starts)
-                long = _long_text_counts(block)
-                if long is None:
-                    bucket, owner = _trigrams(block)
-                    count = np.bincount(owner, minlength=n)
-                    sums = np.stack([np.bincount(owner, weights=row[bucket], minlength=n) for row in logs], axis=1)
-                else:
-                    count, sums = np.array([long.sum()]), (logs @ long)[None, :]
-                for i, place in enumerate(places[block.first : block.last].tolist()):
-                    if place in held and count[i]:  # a text of the sample does not speak for itself
-                        if long is None:
-                            a, b = np.searchsorted(owner, [i, i + 1])
-                            distinct, times = np.unique(bucket[a:b], return_counts=True)
-                        else:
-                            distinct, times = np.flatnonzero(long), long[long > 0]
-                        own = _units(np.zeros(len(times), dtype=np.int64), times) / UNIT
-                        rest, left = counts[:, distinct], totals.copy()
-                        rest[held[place]] -= own
-                        left[held[place]] -= own.sum()
-                        sums[i] = _log_table(rest, left) @ times
-                sums = sums / (1 + count / FULL)[:, None]
-                unknown = sums[:, size:].max(axis=1) + np.log(UNKNOWN / (1 - UNKNOWN))
-                sums = np.concatenate([sums[:, :size], unknown[:, None]], axis=1)
-                best = sums.argmax(axis=1).astype(np.int32)
-                rows_ = slice(block.first, block.last)
-                cuts = np.arange(n + 1, dtype=np.int32) * (size + 1)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c)[rows_] for c in kept]
-                    + [pa.ListArray.from_arrays(cuts, pa.array(sums.ravel())), pa.array(best, mask=(count == 0) | (best == size))],
-                    schema=schema,
-                )
-
-    return rows.select(*kept, "text", F.xxhash64("text").alias("place")).mapInArrow(run, spark_schema(schema))
+        yield from _scored(batches, shared.value)
+
+    return rows.select(*_KEPT, "text", F.xxhash64("text").alias("place")).mapInArrow(run, spark_schema(_SCORES))
 
 
 def _votes(scores: DataFrame, by: str) -> DataFrame:
